@@ -146,7 +146,8 @@ def _last_buckets(rows: DataFrame, size: int, stratified: bool) -> DataFrame:
             counts.withColumn("total", F.sum("n").over(everything))
             .withColumn("rows", F.sum("n").over(mine))
             .withColumn("fewest", F.min("rows").over(everything))
-            .withColumn("strata", F.max(F.dense_rank().over(Window.orderBy("len_bucket"))).over(everything))
+            .withColumn("nth_stratum", F.dense_rank().over(Window.orderBy("len_bucket")))
+            .withColumn("strata", F.max("nth_stratum").over(everything))
         )
         usable = (
             (F.col("fewest") >= 2) & (F.col("strata") <= size) & (F.col("total") - size >= F.col("strata"))

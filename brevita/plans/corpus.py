@@ -9,7 +9,7 @@ from brevita.functions.keys import document_id, split_rank
 from brevita.functions.templates import CHAT_ASSISTANT, CHAT_END, CHAT_SYSTEM, CHAT_USER, INSTRUCTION
 from brevita.functions.text import near_dup_key, with_cleaned
 from brevita.operators import curation, records, sampling
-from brevita.plans.views import BILLS, bills_pool, duck
+from brevita.plans.views import BILLS, bills_pool, bills_splits, duck
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
 from brevita.sources.tables import load_training_splits
@@ -48,7 +48,7 @@ def split_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_pool(spark: SparkSession, sf: str) -> DataFrame:
-    return bills_pool(spark, sf).select(*ID, "text", "summary")
+    return curation.pool_splits(*bills_splits(spark, sf)).select(*ID, "text", "summary")
 
 
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:

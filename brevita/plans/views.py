@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brevita.operators.curation import pool_splits
+from brevita.functions.keys import pool_position
+from brevita.sources.tables import spread
 
 # Input schemas, stated so that no reader has to infer them.
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -111,6 +112,12 @@ def derived(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 
 
 def bills_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two corpus splits of the bills view, pooled train first."""
+    """The bills view as a pool: it already holds both corpus splits under their rank."""
+    bills = spread(derived(spark, sf_dir, BILLS), "doc_id")
+    return bills.withColumn("pool_pos", pool_position(F.col("src_rank"), F.col("doc_id")))
+
+
+def bills_splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two corpus splits of the bills view as separate tables."""
     bills = derived(spark, sf_dir, BILLS)
-    return pool_splits(bills.filter(F.col("src_rank") == 0), bills.filter(F.col("src_rank") == 1))
+    return bills.filter(F.col("src_rank") == 0), bills.filter(F.col("src_rank") == 1)
