@@ -29,26 +29,36 @@ def sorted_ngrams(tokens: Column, n: int) -> Column:
     return F.sort_array(grams)
 
 
-def numbered(df: DataFrame, column: str) -> DataFrame:
-    """Turn a sorted array with repeats into one of distinct strings: the k-th repeat gets ``#k``.
+def with_overlap(df: DataFrame, left: str, right: str, out: str) -> DataFrame:
+    """Add the size of the multiset intersection of two sorted string arrays.
 
-    Two such arrays then intersect in as many strings as their multisets share, so clipped n-gram
-    overlap is one ``array_intersect`` per row: no exploding, no shuffle, time n log n in the row's
-    own length. Tokens never hold ``#``. The steps are separate columns because a lambda evaluates an
-    expression it encloses once per element.
+    It is the number of distinct strings both hold, plus what their repeats share. Repeats are made
+    distinct first (the k-th repeat of a string gets ``#k``; tokens never hold ``#``), so both parts are one
+    hash-based ``array_intersect``. Nothing is exploded or shuffled, and time is n log n in the row's own length.
+    The steps are separate columns because a lambda evaluates an expression it encloses once per element.
     """
-    sorted_col, starts_col = F.col(column), f"{column}_starts"
-    starts = F.transform(
-        sorted_col, lambda g, i: F.when((i == 0) | (F.get(sorted_col, i - 1) != g), i)
-    )
-    df = df.withColumn(starts_col, F.array_compact(starts))
-    runs = F.transform(
-        F.col(starts_col),
-        lambda start, j: F.transform(
-            F.slice(
-                sorted_col, start + 1, F.coalesce(F.get(F.col(starts_col), j + 1), F.size(sorted_col)) - start
-            ),
-            lambda g, k: F.when(k == 0, g).otherwise(F.concat(g, F.lit("#"), k.cast("string"))),
-        ),
-    )
-    return df.withColumn(column, F.flatten(runs)).drop(starts_col)
+    extras = {side: f"{side}_repeats" for side in (left, right)}
+    for side, extra in extras.items():
+        df = _numbered(df.withColumn(extra, _repeats(F.col(side))), extra)
+    shared = F.size(F.array_intersect(left, right)) + F.size(F.array_intersect(*extras.values()))
+    return df.withColumn(out, shared.cast("bigint")).drop(*extras.values())
+
+
+def _repeats(whole: Column) -> Column:
+    """Elements of a sorted array that equal the one before them."""
+    return F.filter(whole, lambda g, i: (i > 0) & (F.get(whole, i - 1) == g))
+
+
+def _numbered(df: DataFrame, column: str) -> DataFrame:
+    """Append to each string of a sorted array how many equal ones stand before it."""
+    whole, starts = F.col(column), F.col(f"{column}_starts")
+    first = F.transform(whole, lambda g, i: F.when((i == 0) | (F.get(whole, i - 1) != g), i))
+    df = df.withColumn(f"{column}_starts", F.array_compact(first))
+
+    def run(start: Column, nth: Column) -> Column:
+        end = F.coalesce(F.get(starts, nth + 1), F.size(whole))
+        return F.transform(
+            F.slice(whole, start + 1, end - start), lambda g, k: F.concat(g, F.lit("#"), k.cast("string"))
+        )
+
+    return df.withColumn(column, F.flatten(F.transform(starts, run))).drop(f"{column}_starts")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brevita.functions.stemming import stem_tokens
 from brevita.functions.subsequence import lcs_tokens
-from brevita.functions.tokens import normalised, numbered, sorted_ngrams, words
+from brevita.functions.tokens import normalised, sorted_ngrams, with_overlap, words
 
 METRICS = ("rouge1", "rouge2", "rougeL")
 DIGITS = 6
@@ -53,12 +53,11 @@ def _with_ngram_counts(texts: DataFrame, n: int) -> DataFrame:
         sorted_ngrams(F.col("ref_grams"), n).alias("ref_grams"),
         sorted_ngrams(F.col("gen_grams"), n).alias("gen_grams"),
     )
-    grams = numbered(numbered(grams, "ref_grams"), "gen_grams")
-    return grams.select(
+    return with_overlap(grams, "ref_grams", "gen_grams", f"hits_{n}").select(
         *kept,
         F.size("ref_grams").cast("bigint").alias(f"ref_{n}"),
         F.size("gen_grams").cast("bigint").alias(f"gen_{n}"),
-        F.size(F.array_intersect("ref_grams", "gen_grams")).cast("bigint").alias(f"hits_{n}"),
+        f"hits_{n}",
     )
 
 

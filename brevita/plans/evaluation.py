@@ -11,7 +11,6 @@ from brevita.plans.corpus import sql_text
 from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
-from brevita.sources.tables import spread
 
 DIGITS = 9
 
@@ -21,7 +20,7 @@ def reply_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(derived(spark, sf, DOCUMENT_PAIRS), "id")
+    return derived(spark, sf, DOCUMENT_PAIRS)
 
 
 def _rounded(scores: DataFrame) -> DataFrame:
