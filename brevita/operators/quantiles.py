@@ -32,32 +32,31 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
     quantile and group, to (group, value) counts, so a value shared by many rows is one row.
     """
     x = F.col(value).cast("double")
-    rows = df.select(F.col(by), x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    rows = df.select(F.col(by).alias("grp"), x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     rows = rows.withColumn("b", value_bucket(F.col("x")))
-    group = Window.partitionBy(by)
 
     def before(order: str, *within: str) -> Column:
-        window = Window.partitionBy(by, *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        window = Window.partitionBy("grp", *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("n").over(window), F.lit(0).cast("bigint"))
 
     positions = {name: (F.col("total") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
 
     def holds(position: Column) -> Column:
-        low, high = F.floor(position), F.ceil(position)
         end = F.col("start") + F.col("n")
-        return (low < end) & (high >= F.col("start"))
+        return (F.floor(position) < end) & (F.ceil(position) >= F.col("start"))
 
-    buckets = rows.groupBy(by, "b").agg(F.count("*").alias("n"))
-    placed = buckets.select(by, "b", "n", before("b").alias("start"), F.sum("n").over(group).alias("total"))
+    buckets = rows.groupBy("grp", "b").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("grp"))
+    placed = buckets.select("grp", "b", "n", before("b").alias("start"), total.alias("total"))
     wanted = F.lit(False)
     for position in positions.values():
         wanted = wanted | holds(position)
-    near = placed.filter(wanted).select(F.col(by).alias("g"), F.col("b").alias("wanted_b"), "start", "total")
+    near = placed.filter(wanted).select(F.col("grp").alias("near_grp"), F.col("b").alias("near_b"), "start", "total")
 
-    match = F.col(by).eqNullSafe(F.col("g")) & (F.col("b") == F.col("wanted_b"))
+    match = F.col("grp").eqNullSafe(F.col("near_grp")) & (F.col("b") == F.col("near_b"))
     values = (
         rows.join(near, match)
-        .groupBy(by, "b", "start", "total", "x")
+        .groupBy("grp", "b", "start", "total", "x")
         .agg(F.count("*").alias("n"))
         .withColumn("start", F.col("start") + before("x", "b"))
     )
@@ -67,9 +66,9 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
         for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
             inside = (F.col("start") <= rank) & (rank < end)
             ends.append(F.max(F.when(inside, F.col("x"))).alias(f"{name}_{side}"))
-    found = values.groupBy(by).agg(F.first("total").alias("total"), *ends)
+    found = values.groupBy("grp").agg(F.first("total").alias("total"), *ends)
     result = []
     for name, position in positions.items():
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         result.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return found.select(by, *result)
+    return found.select(F.col("grp").alias(by), *result)

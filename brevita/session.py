@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import functools
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and benches; a cluster brings its own configuration."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("brevita")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,6 +25,22 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
+
+
+@functools.cache
+def _archive() -> str:
+    package = Path(__file__).resolve().parent
+    target = str(Path(tempfile.mkdtemp(prefix="brevita-")) / package.name)
+    return shutil.make_archive(target, "zip", root_dir=package.parent, base_dir=package.name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, whatever folder the driver was started in. Safe to repeat."""
+    context = spark.sparkContext
+    if not any(Path(f).name == "brevita.zip" for f in context.listFiles):
+        context.addPyFile(_archive())
 
 
 @functools.cache
