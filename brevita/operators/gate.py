@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevita.functions.numbers import round_even
+from brevita.session import pin
 
 # Promotion threshold, weights, judge scale, wording of the decisions.
 DEFAULT_THRESHOLD = 0.02
@@ -150,34 +151,33 @@ def promotion_history(
     3. The fold runs over the record scores, of which there are few.
     4. Every row takes the latest promotion before it: within its block from a window, else from the blocks before.
 
-    ``champions`` (family, combined_score) starts families off with a champion. ``threshold`` must not be negative.
+    The block table and the promotions are written in between: they are small, and Catalyst then broadcasts them by
+    their real size. ``champions`` (family, combined_score) starts families off with a champion. ``threshold`` must not be negative.
     """
     if threshold < 0:
         raise ValueError("promotion_history needs a threshold of at least 0")
     score = F.col("combined_score")
-    rows = candidates.select("family", "seq", score.cast("double").alias("combined_score")).withColumn(
-        "block", F.floor(F.col("seq") / block_span)
-    )
+    block = F.expr(f"seq div {block_span}L").alias("block")
+    rows = candidates.select("family", "seq", score.cast("double").alias("combined_score"), block)
+    earlier_blocks = Window.partitionBy("family").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("family", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+
+    blocks = rows.groupBy("family", "block").agg(F.max("combined_score").alias("top"))
+    blocks = blocks.withColumn("bar", F.max("top").over(earlier_blocks))
     if champions is None:
-        rows = rows.withColumn("entry", F.lit(None).cast("double"))
+        blocks = blocks.withColumn("entry", F.lit(None).cast("double"))
     else:
         entry = champions.select("family", F.col("combined_score").cast("double").alias("entry"))
-        rows = rows.join(entry, "family", "left")
+        blocks = blocks.join(entry, "family", "left")
+    blocks = pin(blocks)
 
-    earlier_blocks = Window.partitionBy("family").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("family", "block").agg(F.max("combined_score").alias("top"), F.first("entry").alias("entry"))
-    blocks = blocks.withColumn("bar", F.max("top").over(earlier_blocks))
-
-    in_block = Window.partitionBy("family", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    rising = blocks.filter(F.col("bar").isNull() | (F.col("top") > F.col("bar"))).select("family", "block", "bar")
+    rising = blocks.filter(F.col("bar").isNull() | (F.col("top") > F.col("bar"))).drop("top")
     records = (
         rows.join(rising, ["family", "block"])
         .withColumn("best", F.greatest(F.col("bar"), F.max("combined_score").over(in_block)))
         .filter(F.col("best").isNull() | (score > F.col("best")))
     )
-    promotions = _promotions(records.select("family", "seq", "combined_score", "entry"), threshold)
-
-    promotions = promotions.withColumn("block", F.floor(F.col("seq") / block_span))
+    promotions = pin(_promotions(records, threshold).withColumn("block", block))
     by_block = promotions.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
     opening = blocks.join(by_block, ["family", "block"], "left").select(
         "family",
@@ -185,8 +185,7 @@ def promotion_history(
         F.coalesce(F.last("last_promoted", ignorenulls=True).over(earlier_blocks), F.col("entry")).alias("opening"),
     )
     held = (
-        rows.drop("entry")
-        .join(opening, ["family", "block"])
+        rows.join(opening, ["family", "block"])
         .join(promotions, ["family", "block", "seq"], "left")
         .withColumn("champion", F.coalesce(F.last("promoted", ignorenulls=True).over(in_block), F.col("opening")))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevita.functions.numbers import success_flag
@@ -37,29 +37,38 @@ def latency_kpis(logs: DataFrame, by: str | None = None) -> DataFrame:
 
     Means and percentiles skip null latencies; a null status counts as not successful.
     """
-    key = by or "scope"
-    rows = logs if by else logs.withColumn(key, F.lit("all"))
-    rows = rows.select(key, "latency_ms", success_flag(F.col("status")).alias("ok"))
-    totals = rows.groupBy(F.col(key).alias("k")).agg(
-        F.count("*").alias("requests"),
-        F.avg(F.when(~F.isnan("latency_ms"), F.col("latency_ms"))).alias("avg_latency_ms"),
-        (F.avg("ok") * 100).alias("success_pct"),
-    )
-    quantiles = exact_quantiles(rows, "latency_ms", PERCENTILES, key)
-    joined = totals.join(quantiles, F.col("k").eqNullSafe(F.col(key)), "left")
-    kpis = ("avg_latency_ms", *PERCENTILES, "success_pct")
-    return joined.select(
-        *([F.col("k").alias(by)] if by else []), "requests", *[F.round(c, DIGITS).alias(c) for c in kpis]
+    latency = F.col("latency_ms").cast("double")
+    totals = {
+        "requests": F.lit(1).cast("bigint"),
+        "latency_sum": F.when(~F.isnan(latency), latency),
+        "successes": success_flag(F.col("status")).cast("bigint"),
+    }
+    found = exact_quantiles(logs, "latency_ms", PERCENTILES, by, totals)
+    kpis = {
+        "avg_latency_ms": F.when(F.col("values") > 0, F.col("latency_sum") / F.col("values")),
+        **{name: F.col(name) for name in PERCENTILES},
+        "success_pct": F.col("successes") / F.col("requests") * 100,
+    }
+    return found.select(
+        *([by] if by else []), "requests", *[F.round(column, DIGITS).alias(name) for name, column in kpis.items()]
     )
 
 
 def requests_by_hour(logs: DataFrame) -> DataFrame:
-    """Requests per hour from the first to the last hour, empty hours as 0."""
-    hourly = logs.filter(F.col("timestamp_utc").isNotNull()).groupBy(
-        F.date_trunc("hour", "timestamp_utc").alias("hour")
+    """Requests per hour from the first to the last hour, empty hours as 0.
+
+    Each hour that has requests fills the gap up to the next one. The window without a partition runs over
+    hours, not requests.
+    """
+    counts = (
+        logs.filter(F.col("timestamp_utc").isNotNull())
+        .groupBy(F.date_trunc("hour", "timestamp_utc").alias("first"))
+        .agg(F.count("*").alias("n"))
+    )
+    one_hour = F.expr("interval 1 hour")
+    following = F.lead("first").over(Window.orderBy("first"))
+    last = F.coalesce(following - one_hour, F.col("first"))
+    filled = counts.withColumn("last", last).select(
+        F.explode(F.sequence("first", "last", one_hour)).alias("hour"), "first", "n"
     )
-    counts = hourly.agg(F.count("*").alias("n"))
-    span = counts.agg(F.min("hour").alias("first"), F.max("hour").alias("last"))
-    hours = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("hour"))
-    filled = hours.join(counts, "hour", "left")
-    return filled.select("hour", F.coalesce("n", F.lit(0).cast("bigint")).alias("requests"))
+    return filled.select("hour", F.when(F.col("hour") == F.col("first"), F.col("n")).otherwise(0).alias("requests"))

@@ -9,12 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brevita.session import pin
+
 # Buckets per factor e: a bucket spans 0.025 % of its value, and all doubles fit in under 13 million buckets.
 STEPS_PER_E = 4096
 SIGN_OFFSET = 10_000_000
 MAX_DOUBLE = 1.7976931348623157e308
 
 
+# Bucket of rows without a value.
+NO_VALUE = -(1 << 40)
+
+
 def value_bucket(x: Column) -> Column:
     """Integer bucket of a double; never decreases as the value grows."""
     size = F.ln(F.least(F.abs(x), F.lit(MAX_DOUBLE))) * STEPS_PER_E
@@ -25,50 +31,75 @@ def value_bucket(x: Column) -> Column:
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: str) -> DataFrame:
-    """Linear-interpolated quantiles per group, one column per entry of ``quantiles``; nulls and NaN skipped.
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    by: str | None = None,
+    sums: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Linear-interpolated quantiles, overall or per group, one column per entry of ``quantiles``.
 
-    Rows are combined on the map side twice: to (group, bucket) counts, then, for at most two buckets per
-    quantile and group, to (group, value) counts, so a value shared by many rows is one row.
+    Nulls and NaN are skipped. ``sums`` adds totals over all rows of the group, and ``values`` counts the rows that
+    have a value; both come out of the histogram pass. A group without values keeps its row, with null quantiles.
+
+    Two scans of the column. Each combines on the map side: to (group, bucket) counts, then, for at most two buckets
+    per quantile and group, to (group, value) counts, so a value that many rows share is one row. The list of
+    those buckets is written between the scans; Catalyst then knows its size and broadcasts it only if it is small.
     """
+    sums = sums or {}
+    keys = ["grp"] if by else []
     x = F.col(value).cast("double")
-    rows = df.select(F.col(by).alias("grp"), x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    rows = rows.withColumn("b", value_bucket(F.col("x")))
+    rows = df.select(
+        *([F.col(by).alias("grp")] if by else []),
+        F.when(~F.isnan(x), x).alias("x"),
+        *[column.alias(name) for name, column in sums.items()],
+    ).withColumn("b", F.when(F.col("x").isNull(), F.lit(NO_VALUE)).otherwise(value_bucket(F.col("x"))))
+    group = Window.partitionBy(*keys)
 
     def before(order: str, *within: str) -> Column:
-        window = Window.partitionBy("grp", *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        window = Window.partitionBy(*keys, *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("n").over(window), F.lit(0).cast("bigint"))
 
-    positions = {name: (F.col("total") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
+    positions = {name: (F.col("values") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
+    end = F.col("start") + F.col("n")
 
     def holds(position: Column) -> Column:
-        end = F.col("start") + F.col("n")
         return (F.floor(position) < end) & (F.ceil(position) >= F.col("start"))
 
-    buckets = rows.groupBy("grp", "b").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("grp"))
-    placed = buckets.select("grp", "b", "n", before("b").alias("start"), total.alias("total"))
-    wanted = F.lit(False)
+    buckets = rows.groupBy(*keys, "b").agg(F.count("x").alias("n"), *[F.sum(name).alias(name) for name in sums])
+    placed = buckets.select(
+        *keys,
+        "b",
+        "n",
+        before("b").alias("start"),
+        F.sum("n").over(group).alias("values"),
+        *[F.sum(name).over(group).alias(name) for name in sums],
+    )
+    wanted = (F.col("values") == 0) & (F.col("b") == NO_VALUE)
     for position in positions.values():
-        wanted = wanted | holds(position)
-    near = placed.filter(wanted).select(F.col("grp").alias("near_grp"), F.col("b").alias("near_b"), "start", "total")
-
-    match = F.col("grp").eqNullSafe(F.col("near_grp")) & (F.col("b") == F.col("near_b"))
-    values = (
-        rows.join(near, match)
-        .groupBy("grp", "b", "start", "total", "x")
-        .agg(F.count("*").alias("n"))
+        wanted = wanted | ((F.col("n") > 0) & holds(position))
+    carried = ["start", "values", *sums]
+    near = pin(placed.filter(wanted).select(*[F.col(k).alias(f"near_{k}") for k in [*keys, "b"]], *carried))
+
+    match = F.col("b") == F.col("near_b")
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"near_{key}"))
+    counted = (
+        rows.select(*keys, "b", "x")
+        .join(near, match)
+        .groupBy(*keys, "b", *carried, "x")
+        .agg(F.count("x").alias("n"))
         .withColumn("start", F.col("start") + before("x", "b"))
     )
     ends = []
     for name, position in positions.items():
-        end = F.col("start") + F.col("n")
         for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
             inside = (F.col("start") <= rank) & (rank < end)
             ends.append(F.max(F.when(inside, F.col("x"))).alias(f"{name}_{side}"))
-    found = values.groupBy("grp").agg(F.first("total").alias("total"), *ends)
+    found = counted.groupBy(*keys).agg(*[F.first(c).alias(c) for c in carried if c != "start"], *ends)
     result = []
     for name, position in positions.items():
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         result.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return found.select(F.col("grp").alias(by), *result)
+    return found.select(*([F.col("grp").alias(by)] if by else []), "values", *sums, *result)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevita.functions.keys import hash_bucket, hash_order
+from brevita.session import pin
 
 # Broadcast a table of wanted buckets or cuts only if its row bound is at most this.
 MAX_BROADCAST_ROWS = 100_000
@@ -204,12 +205,14 @@ def exact_split(
     ``pool`` has ``doc_id``, ``pool_pos`` and, if stratified, ``len_bucket`` with at most
     ``strata_bound`` values. Test is drawn first, validation from what is left; each draw falls back to a
     single stratum on its own when a stratum has fewer than two rows or the strata outnumber either side.
+    The narrow rows are written before each draw, which reads them three times.
     Rows are drawn in hash order of (seed, id), because the seeded shuffle of an outside library cannot be
     reproduced; sizes and per-stratum shares are the same. Labelling compares each row with at most
     ``strata_bound`` cut values and moves no rows.
     """
-    rows = _with_order(pool, seed)
+    rows = pin(_with_order(pool, seed))
     tested = _draw(rows, test_size, "is_test", strata_bound, stratified)
+    tested = pin(tested) if test_size and val_size else tested
     labelled = _draw(tested, val_size, "is_val", strata_bound, stratified, among=~F.col("is_test"))
     split = F.when(F.col("is_test"), "test").when(F.col("is_val"), "val").otherwise("train")
     return labelled.select(*pool.columns, split.alias("split"))

@@ -42,7 +42,7 @@ def split_rows(spark: SparkSession, sf: str, stratified: bool = True) -> DataFra
 
 def split_records(spark: SparkSession, sf: str) -> DataFrame:
     """Instruction records of the split rows with their ids; texts are attached last."""
-    labelled = split_rows(spark, sf).select("pool_pos", "split")
+    labelled = pin(split_rows(spark, sf).select("pool_pos", "split"))
     rows = curation.select_rows(bills_pool(spark, sf), labelled, curation.LengthBand())
     return records.instruction_records(rows, *ID, "split")
 
