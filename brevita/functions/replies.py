@@ -23,7 +23,7 @@ def object_variant(text: Column) -> Column:
 
     Spark's parser ignores whatever follows a complete value. The text is therefore put into an
     array in front of its own digest: if the text closes early, the digest is not at index 1.
-    Duplicate keys and ``NaN`` come out as null.
+    ``NaN`` and ``Infinity``, which are no JSON, come out as null.
     """
     seal = F.md5(text)
     array = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')))

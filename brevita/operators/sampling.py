@@ -133,7 +133,7 @@ def _shares(counts: DataFrame, size: int) -> DataFrame:
     return shared.select(*counts.columns, take.alias("take"))
 
 
-def _last_buckets(rows: DataFrame, size: int, stratified: bool) -> DataFrame:
+def _last_buckets(rows: DataFrame, size: int, stratified: bool, strata_bound: int) -> DataFrame:
     """(stratum, bucket, nth): where each stratum's draw ends. At most one row per stratum.
 
     The draw is stratified by ``len_bucket`` only if every stratum has two rows and the strata outnumber
@@ -153,7 +153,10 @@ def _last_buckets(rows: DataFrame, size: int, stratified: bool) -> DataFrame:
         usable = (
             (F.col("fewest") >= 2) & (F.col("strata") <= size) & (F.col("total") - size >= F.col("strata"))
         )
-        stratum = F.when(usable, F.col("len_bucket")).otherwise(stratum)
+        too_many = F.raise_error(F.lit(f"more than {strata_bound} strata")).cast("int")
+        stratum = (
+            F.when(F.col("strata") > strata_bound, too_many).when(usable, F.col("len_bucket")).otherwise(stratum)
+        )
     counts = counts.withColumn("stratum", stratum).groupBy("stratum", "bucket").agg(F.sum("n").alias("n"))
     placed = _shares(counts, size).withColumn("start", _running("n", Window.partitionBy("stratum").orderBy("bucket")))
     ends_here = (F.col("start") < F.col("take")) & (F.col("take") <= F.col("start") + F.col("n"))
@@ -162,7 +165,7 @@ def _last_buckets(rows: DataFrame, size: int, stratified: bool) -> DataFrame:
 
 def _cuts(rows: DataFrame, size: int, stratified: bool, strata_bound: int) -> Column:
     """Map of stratum to its last drawn row (h, pool_pos), as a scalar, so that a look-up needs no join."""
-    last = _bounded(_last_buckets(rows, size, stratified), strata_bound)
+    last = _bounded(_last_buckets(rows, size, stratified, strata_bound), strata_bound)
     columns = ["h", "pool_pos", "bucket"] + (["len_bucket"] if stratified else [])
     near = rows.select(*columns).join(last, "bucket")
     if stratified:
@@ -203,7 +206,7 @@ def exact_split(
     """Label every row ``test``, ``val`` or ``train`` with exact sizes.
 
     ``pool`` has ``doc_id``, ``pool_pos`` and, if stratified, ``len_bucket`` with at most
-    ``strata_bound`` values. Test is drawn first, validation from what is left; each draw falls back to a
+    ``strata_bound`` values (more raise). Test is drawn first, validation from what is left; each draw falls back to a
     single stratum on its own when a stratum has fewer than two rows or the strata outnumber either side.
     The narrow rows are written before each draw, which reads them three times.
     Rows are drawn in hash order of (seed, id), because the seeded shuffle of an outside library cannot be

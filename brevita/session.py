@@ -11,6 +11,17 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """What the jobs expect of any session: the package on the workers, UTC, and JSON as Python reads it.
+
+    Of a key that a JSON object repeats, the last one counts. Safe to repeat.
+    """
+    ship_package(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return spark
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and benches; a cluster brings its own configuration."""
     spark = (
@@ -18,15 +29,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("brevita")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    ship_package(spark)
-    return spark
+    return prepare(spark)
 
 
 @functools.cache

@@ -95,6 +95,12 @@ def test_unstratified_needs_no_bucket(spark):
     assert got.split.value_counts().to_dict() == {"train": 70, "val": 20, "test": 10}
 
 
+def test_more_strata_than_promised_raise(spark):
+    with pytest.raises(Exception, match="more than 10 strata"):
+        split_of(spark, list(range(11)) * 4, 12, 12)
+    assert len(split_of(spark, list(range(11)) * 4, 12, 12, strata_bound=11)) == 44
+
+
 def test_guard_raises_before_writing(spark):
     with pytest.raises(sampling.NotEnoughExamples):
         sampling.require_rows(pool(spark, [1, 2]), 3)
