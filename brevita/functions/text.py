@@ -45,7 +45,7 @@ def clean(c: Column) -> Column:
 def near_dup_key(c: Column) -> Column:
     """Letters and digits of the opening of a cleaned text; equal keys mean near-duplicates."""
     opening = F.lower(F.substring(c, 1, KEY_WINDOW))
-    return F.substring(F.regexp_replace(opening, "[^a-z0-9]", ""), 1, KEY_LENGTH)
+    return F.substring(F.regexp_replace(opening, "[^a-z0-9]+", ""), 1, KEY_LENGTH)
 
 
 def key_digest(key: Column) -> Column:

@@ -1,8 +1,8 @@
-"""Tokens and n-gram multisets inside one row."""
+"""Tokens of a text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -11,54 +11,6 @@ def normalised(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))
 
 
-def words(normal: Column) -> Column:
-    """Token array of a normalised text; an empty text has no tokens."""
-    return F.when(normal == "", F.array().cast("array<string>")).otherwise(F.split(normal, " "))
-
-
-def sorted_ngrams(tokens: Column, n: int) -> Column:
-    """The n-grams of a token array, sorted, repeats kept."""
-    if n < 1:
-        raise ValueError("n must be at least 1")
-    grams = tokens
-    for k in range(1, n):
-        following = F.slice(tokens, k + 1, F.greatest(F.size(tokens) - k, F.lit(0)))
-        grams = F.zip_with(
-            F.slice(grams, 1, F.size(following)), following, lambda a, b: F.concat(a, F.lit(" "), b)
-        )
-    return F.sort_array(grams)
-
-
-def with_overlap(df: DataFrame, left: str, right: str, out: str) -> DataFrame:
-    """Add the size of the multiset intersection of two sorted string arrays.
-
-    It is the number of distinct strings both hold, plus what their repeats share. Repeats are made
-    distinct first (the k-th repeat of a string gets ``#k``; tokens never hold ``#``), so both parts are one
-    hash-based ``array_intersect``. Nothing is exploded or shuffled, and time is n log n in the row's own length.
-    The steps are separate columns because a lambda evaluates an expression it encloses once per element.
-    """
-    extras = {side: f"{side}_repeats" for side in (left, right)}
-    for side, extra in extras.items():
-        df = _numbered(df.withColumn(extra, _repeats(F.col(side))), extra)
-    shared = F.size(F.array_intersect(left, right)) + F.size(F.array_intersect(*extras.values()))
-    return df.withColumn(out, shared.cast("bigint")).drop(*extras.values())
-
-
-def _repeats(whole: Column) -> Column:
-    """Elements of a sorted array that equal the one before them."""
-    return F.filter(whole, lambda g, i: (i > 0) & (F.get(whole, i - 1) == g))
-
-
-def _numbered(df: DataFrame, column: str) -> DataFrame:
-    """Append to each string of a sorted array how many equal ones stand before it."""
-    whole, starts = F.col(column), F.col(f"{column}_starts")
-    first = F.transform(whole, lambda g, i: F.when((i == 0) | (F.get(whole, i - 1) != g), i))
-    df = df.withColumn(f"{column}_starts", F.array_compact(first))
-
-    def run(start: Column, nth: Column) -> Column:
-        end = F.coalesce(F.get(starts, nth + 1), F.size(whole))
-        return F.transform(
-            F.slice(whole, start + 1, end - start), lambda g, k: F.concat(g, F.lit("#"), k.cast("string"))
-        )
-
-    return df.withColumn(column, F.flatten(F.transform(starts, run))).drop(f"{column}_starts")
+def token_count(normal: Column) -> Column:
+    """Number of tokens of a normalised text."""
+    return F.when(normal == "", 0).otherwise(F.length(normal) - F.length(F.replace(normal, F.lit(" "))) + 1)

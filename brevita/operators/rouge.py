@@ -10,9 +10,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brevita.functions.overlap import NGRAM_COUNTS, lcs_tokens, ngram_overlap
 from brevita.functions.stemming import stem_tokens
-from brevita.functions.subsequence import lcs_tokens
-from brevita.functions.tokens import normalised, sorted_ngrams, with_overlap, words
+from brevita.functions.tokens import normalised, token_count
 
 METRICS = ("rouge1", "rouge2", "rougeL")
 DIGITS = 6
@@ -43,55 +43,46 @@ def _tokenised(pairs: DataFrame, stem: bool) -> DataFrame:
     return pairs.select(*kept, ref.alias("ref_text"), gen.alias("gen_text"))
 
 
-def _with_ngram_counts(texts: DataFrame, n: int) -> DataFrame:
-    kept = texts.columns
-    grams = texts.select(
-        *kept, words(F.col("ref_text")).alias("ref_grams"), words(F.col("gen_text")).alias("gen_grams")
-    )
-    grams = grams.select(
-        *kept,
-        sorted_ngrams(F.col("ref_grams"), n).alias("ref_grams"),
-        sorted_ngrams(F.col("gen_grams"), n).alias("gen_grams"),
-    )
-    return with_overlap(grams, "ref_grams", "gen_grams", f"hits_{n}").select(
-        *kept,
-        F.size("ref_grams").cast("bigint").alias(f"ref_{n}"),
-        F.size("gen_grams").cast("bigint").alias(f"gen_{n}"),
-        f"hits_{n}",
-    )
-
-
 def rouge_n(pairs: DataFrame, stem: bool = False) -> DataFrame:
     """Clipped unigram and bigram overlap of each pair with precision, recall and F1."""
-    counted = _with_ngram_counts(_with_ngram_counts(_tokenised(pairs, stem), 1), 2)
+    texts = _tokenised(pairs, stem)
+    counted = texts.withColumn("counts", ngram_overlap("ref_text", "gen_text")).drop("ref_text", "gen_text")
+    counted = counted.select("*", "counts.*").drop("counts")
     scores = []
     for n in (1, 2):
         scores += _score(F.col(f"hits_{n}"), F.col(f"gen_{n}"), F.col(f"ref_{n}"), f"rouge{n}")
-    return counted.select("*", *scores).drop("ref_text", "gen_text")
+    return counted.select("*", *scores)
 
 
 def rouge_l(pairs: DataFrame, stem: bool = False) -> DataFrame:
     """Longest common token subsequence of each pair with precision, recall and F1."""
-    texts = _tokenised(pairs, stem)
-    measured = texts.select(
-        "*",
-        F.size(words(F.col("ref_text"))).cast("bigint").alias("ref_1"),
-        F.size(words(F.col("gen_text"))).cast("bigint").alias("gen_1"),
-        lcs_tokens("ref_text", "gen_text").alias("lcs"),
-    )
-    return measured.select("*", *_score(F.col("lcs"), F.col("gen_1"), F.col("ref_1"), "rougeL")).drop(
-        "ref_text", "gen_text"
+    measured = (
+        _tokenised(pairs, stem)
+        .withColumns(
+            {
+                "ref_1": token_count(F.col("ref_text")).cast("bigint"),
+                "gen_1": token_count(F.col("gen_text")).cast("bigint"),
+                "lcs": lcs_tokens("ref_text", "gen_text"),
+            }
+        )
+        .drop("ref_text", "gen_text")
     )
+    return measured.select("*", *_score(F.col("lcs"), F.col("gen_1"), F.col("ref_1"), "rougeL"))
 
 
 def rouge_scores(pairs: DataFrame, stem: bool = False) -> DataFrame:
     """F1 of the three metrics per pair: (id, model, rouge1, rouge2, rougeL)."""
-    texts = _tokenised(pairs, stem).withColumn("lcs", lcs_tokens("ref_text", "gen_text"))
-    counted = _with_ngram_counts(_with_ngram_counts(texts, 1), 2)
+    counted = _tokenised(pairs, stem).select(
+        "id",
+        "model",
+        ngram_overlap("ref_text", "gen_text").alias("counts"),
+        lcs_tokens("ref_text", "gen_text").alias("lcs"),
+    )
+    n = {name: F.col(f"counts.{name}") for name in NGRAM_COUNTS.names}
     scores = {
-        "rouge1": _score(F.col("hits_1"), F.col("gen_1"), F.col("ref_1"), "x")[2],
-        "rouge2": _score(F.col("hits_2"), F.col("gen_2"), F.col("ref_2"), "x")[2],
-        "rougeL": _score(F.col("lcs"), F.col("gen_1"), F.col("ref_1"), "x")[2],
+        "rouge1": _score(n["hits_1"], n["gen_1"], n["ref_1"], "rouge1")[2],
+        "rouge2": _score(n["hits_2"], n["gen_2"], n["ref_2"], "rouge2")[2],
+        "rougeL": _score(F.col("lcs"), n["gen_1"], n["ref_1"], "rougeL")[2],
     }
     return counted.select("id", "model", *[score.alias(name) for name, score in scores.items()])
 

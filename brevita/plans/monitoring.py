@@ -115,7 +115,7 @@ def _event_logs(events: DataFrame) -> DataFrame:
 
 
 def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _event_logs(read_files(spark, sf, EVENTS, "events.parquet"))
+    return _event_logs(read_files(spark, f"{sf}/events.parquet", EVENTS))
 
 
 def stream_log_ingest(spark: SparkSession, sf: str) -> DataFrame:

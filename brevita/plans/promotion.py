@@ -86,7 +86,7 @@ def champion_table(spark: SparkSession, sf: str) -> DataFrame:
 def stream_promotion(spark: SparkSession, sf: str) -> DataFrame:
     """The history as a stream; every decision it logged."""
     log_path, champions = fresh_dir(spark, "gate-log"), fresh_dir(spark, "gate-champions")
-    events = read_files(spark, sf, EVENTS, "events.parquet")
+    events = read_files(spark, f"{sf}/events.parquet", EVENTS)
     rows = events.select(
         F.col("event_type").alias("family"),
         F.col("event_id").alias("seq"),

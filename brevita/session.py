@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 def prepare(spark: SparkSession) -> SparkSession:
     """What the jobs expect of any session: the package on the workers, UTC, and JSON as Python reads it.
 
-    Of a key that a JSON object repeats, the last one counts. Safe to repeat.
+    Of a key that a JSON object repeats, the last one counts. Arrow batches are kept short, since a row may be a
+    whole document. Safe to repeat.
     """
     ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     return spark
 
 

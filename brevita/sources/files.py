@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _resolve(spark, path)
+    return system.exists(hadoop_path) and system.getFileStatus(hadoop_path).isDirectory()
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the finished ``version=N`` folders below ``path``, ascending."""
     if not exists(spark, path):

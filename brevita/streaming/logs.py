@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brevita.functions.numbers import success_flag
+from brevita.sources.files import is_folder
 
 WATERMARK = "10 minutes"
 WINDOW = "1 hour"
@@ -18,16 +19,15 @@ REFRESH = "60 seconds"
 QUANTILE_ACCURACY = 10_000
 
 
-def read_files(
-    spark: SparkSession, path: str, schema: str, glob: str | None = None, max_files: int | None = None
-) -> DataFrame:
-    """File stream with a stated schema."""
+def read_files(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the Parquet files below a folder, or of one single file, with a stated schema."""
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    folder, _, name = path.rpartition("/")
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def _triggered(writer, refresh: str | None):

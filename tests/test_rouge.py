@@ -4,8 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from brevita.functions.overlap import lcs_length
 from brevita.functions.stemming import porter_stem, stem_token
-from brevita.functions.subsequence import lcs_length
 from brevita.operators import rouge
 
 SCHEMA = "id bigint, model string, reference_summary string, generated_summary string"
