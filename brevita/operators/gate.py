@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,10 @@ ROUGE_METRICS = ("rouge1", "rouge2", "rougeL")
 # Candidates per block of a history; see promotion_history.
 BLOCK_SPAN = 100_000
 
+# Record scores of one family that are folded in one row. Scorecards are rounded to six digits, so scores between 0
+# and 1 have at most a million records; a random history of a million rows has about fourteen.
+MAX_FOLD = 100_000
+
 
 def _required(value: Column, message: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(message)).cast("double"))
@@ -100,17 +106,8 @@ def promotion_decision(
     )
 
 
-def _promotions(records: DataFrame, threshold: float) -> DataFrame:
-    """The promoted ones among each family's record scores, as (family, seq, promoted).
-
-    Scorecards are rounded to six digits, so a family has at most 1,000,001 record scores between 0 and 1
-    however long its history is, and at most 1 / threshold + 1 promotions.
-    """
-    score = F.col("combined_score")
-    if threshold == 0:
-        beaten = records.filter(F.col("entry").isNull() | (score > F.col("entry")))
-        return beaten.select("family", "seq", score.alias("promoted"))
-
+def _fold(records: DataFrame, threshold: float) -> DataFrame:
+    """Promotions of families whose record scores fit into one row each, as (family, seq, promoted)."""
     pair = "array<struct<seq:bigint,combined_score:double>>"
     folded = records.groupBy("family").agg(
         F.array_sort(F.collect_list(F.struct("seq", "combined_score"))).alias("records"),
@@ -132,11 +129,45 @@ def _promotions(records: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _climb(records: DataFrame, threshold: float) -> DataFrame:
+    """The same without gathering a family: one step per promotion, for all families at once.
+
+    Record scores rise with ``seq``, so a family's next promotion is its lowest score above the bar: a map-side
+    minimum. Each promotion raises the bar by more than the threshold, so the steps are at most score range / threshold.
+    """
+    held = records.groupBy("family").agg(F.first("entry").alias("promoted"))
+    steps = []
+    while True:
+        above = F.col("promoted").isNull() | (F.col("combined_score") > F.col("promoted") + F.lit(threshold))
+        lowest = F.min("combined_score").alias("promoted")
+        held = pin(
+            records.join(held.select("family", "promoted"), "family")
+            .filter(above)
+            .groupBy("family")
+            .agg(F.min_by("seq", "combined_score").alias("seq"), lowest)
+        )
+        steps.append(held)
+        if held.isEmpty():
+            return reduce(DataFrame.unionByName, steps)
+
+
+def _promotions(records: DataFrame, threshold: float, max_fold: int) -> DataFrame:
+    """The promoted ones among each family's record scores."""
+    score = F.col("combined_score")
+    if threshold == 0:
+        beaten = records.filter(F.col("entry").isNull() | (score > F.col("entry")))
+        return beaten.select("family", "seq", score.alias("promoted"))
+    records = pin(records.select("family", "seq", "combined_score", "entry"))
+    longest = records.groupBy("family").count().agg(F.max("count")).first()[0] or 0
+    return _fold(records, threshold) if longest <= max_fold else _climb(records, threshold)
+
+
 def promotion_history(
     candidates: DataFrame,
     threshold: float = DEFAULT_THRESHOLD,
     champions: DataFrame | None = None,
     block_span: int = BLOCK_SPAN,
+    max_fold: int = MAX_FOLD,
 ) -> DataFrame:
     """Decide every candidate (family, seq, combined_score) against the champion of its moment.
 
@@ -148,11 +179,12 @@ def promotion_history(
     1. Block maxima: ``seq`` is unique in a family, so a block of ``block_span`` consecutive values holds at most
        that many rows, and a family with a third of all rows becomes many blocks.
     2. Record scores: only blocks whose maximum beats all earlier blocks are read row by row.
-    3. The fold runs over the record scores, of which there are few.
+    3. The fold runs over the record scores: in one row per family, or by steps if a family has over ``max_fold``.
     4. Every row takes the latest promotion before it: within its block from a window, else from the blocks before.
 
-    The block table and the promotions are written in between: they are small, and Catalyst then broadcasts them by
-    their real size. ``champions`` (family, combined_score) starts families off with a champion. ``threshold`` must not be negative.
+    The block table, records and promotions are written in between: they are small, and Catalyst then broadcasts them
+    by their real size. ``champions`` (family, combined_score) starts families off with a champion. ``threshold`` must not
+    be negative.
     """
     if threshold < 0:
         raise ValueError("promotion_history needs a threshold of at least 0")
@@ -177,7 +209,7 @@ def promotion_history(
         .withColumn("best", F.greatest(F.col("bar"), F.max("combined_score").over(in_block)))
         .filter(F.col("best").isNull() | (score > F.col("best")))
     )
-    promotions = pin(_promotions(records, threshold).withColumn("block", block))
+    promotions = pin(_promotions(records, threshold, max_fold).withColumn("block", block))
     by_block = promotions.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
     opening = blocks.join(by_block, ["family", "block"], "left").select(
         "family",

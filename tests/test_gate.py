@@ -66,16 +66,16 @@ def fold(rows, threshold, start):
 
 
 @pytest.mark.parametrize("threshold", [0.0, 0.02, 0.3])
-@pytest.mark.parametrize("span", [1, 7, 1000])
+@pytest.mark.parametrize("span, max_fold", [(1, 100), (7, 100), (7, 2), (1000, 0)])
 @pytest.mark.parametrize("shape", ["random", "rising", "equal"])
-def test_history_equals_the_sequential_fold(spark, threshold, span, shape):
+def test_history_equals_the_sequential_fold(spark, threshold, span, max_fold, shape):
     rng = random.Random(f"{threshold}{span}{shape}")
     score = {"random": lambda i: round(rng.random(), 3), "rising": lambda i: i / 100, "equal": lambda i: 0.5}[shape]
     rows = [(f, i, score(i)) for f, n in (("a", 90), ("b", 30), ("c", 1)) for i in rng.sample(range(200), n)]
     start = {"b": 0.4, "z": 0.1} if span == 7 else {}
     champions = spark.createDataFrame([(f, 0, s) for f, s in start.items()], CANDIDATES) if start else None
     df = spark.createDataFrame(rows, CANDIDATES).repartition(3)
-    got = gate.promotion_history(df, threshold, champions, span).collect()
+    got = gate.promotion_history(df, threshold, champions, span, max_fold).collect()
     assert sorted((r.family, r.seq, r.champion_score, r.decision) for r in got) == fold(rows, threshold, start)
 
 
