@@ -121,13 +121,25 @@ def _shares(counts: DataFrame, size: int) -> DataFrame:
     """
     everything, mine = Window.partitionBy(), Window.partitionBy("stratum")
     shared = (
-        counts.withColumn("total", F.sum("n").over(everything))
-        .withColumn("stratum_rows", F.sum("n").over(mine))
-        .withColumn("first", F.row_number().over(mine.orderBy("n")) == 1)
-        .withColumn("base", F.expr(f"stratum_rows * {size}L div total"))
-        .withColumn("remainder", F.expr(f"stratum_rows * {size}L % total"))
-        .withColumn("left_over", F.lit(size) - F.sum(F.when(F.col("first"), F.col("base"))).over(everything))
-        .withColumn("place", F.dense_rank().over(Window.orderBy(F.desc("remainder"), "stratum")))
+        counts.withColumns(
+            {
+                "total": F.sum("n").over(everything),
+                "stratum_rows": F.sum("n").over(mine),
+                "first": F.row_number().over(mine.orderBy("n")) == 1,
+            }
+        )
+        .withColumns(
+            {
+                "base": F.expr(f"stratum_rows * {size}L div total"),
+                "remainder": F.expr(f"stratum_rows * {size}L % total"),
+            }
+        )
+        .withColumns(
+            {
+                "left_over": F.lit(size) - F.sum(F.when(F.col("first"), F.col("base"))).over(everything),
+                "place": F.dense_rank().over(Window.orderBy(F.desc("remainder"), "stratum")),
+            }
+        )
     )
     take = F.col("base") + (F.col("place") <= F.col("left_over")).cast("bigint")
     return shared.select(*counts.columns, take.alias("take"))
@@ -144,11 +156,16 @@ def _last_buckets(rows: DataFrame, size: int, stratified: bool, strata_bound: in
     if stratified:
         everything, mine = Window.partitionBy(), Window.partitionBy("len_bucket")
         counts = (
-            counts.withColumn("total", F.sum("n").over(everything))
-            .withColumn("rows", F.sum("n").over(mine))
-            .withColumn("fewest", F.min("rows").over(everything))
-            .withColumn("nth_stratum", F.dense_rank().over(Window.orderBy("len_bucket")))
-            .withColumn("strata", F.max("nth_stratum").over(everything))
+            counts.withColumns(
+                {
+                    "total": F.sum("n").over(everything),
+                    "rows": F.sum("n").over(mine),
+                    "nth_stratum": F.dense_rank().over(Window.orderBy("len_bucket")),
+                }
+            )
+            .withColumns(
+                {"fewest": F.min("rows").over(everything), "strata": F.max("nth_stratum").over(everything)}
+            )
         )
         usable = (
             (F.col("fewest") >= 2) & (F.col("strata") <= size) & (F.col("total") - size >= F.col("strata"))
