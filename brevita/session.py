@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,22 +65,54 @@ def _local_fallback() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local mode) a fresh temporary folder is used.
+    Only in local mode, where driver and tasks are one process, an unset folder is replaced by a temporary one.
+    On any other master an unset folder is an error: each executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else _local_fallback()
+    if configured:
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder shared by all executors on master {master}")
+    return _local_fallback()
+
+
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every pinned table and fresh folder made inside. Only for jobs that end with their own action:
+    a DataFrame returned out of the scope could no longer read what was pinned in it."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written copy.
 
     Used on narrow id-and-length tables that several later steps read, so that a lost executor
-    costs a re-read instead of the whole corpus scan.
+    costs a re-read instead of the whole corpus scan. Inside ``scratch`` the copy goes at the end of the scope.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "pinned")
