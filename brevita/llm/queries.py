@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import mixing
+from brevita.llm import mixing, secret_scan
 from brevita.llm.common import prepare, table
 
 
@@ -14,5 +14,17 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_mixing": op1_mixing}
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    model = secret_scan.train(secret_scan.labelled_strings(docs))
+    base, added = F.col("base"), F.col("all")
+    return secret_scan.scan(docs, model).select(
+        "doc_id",
+        *[secret_scan.count_of(base, kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(added).alias("spans"),
+    )
+
+
+QUERIES = {"op1_mixing": op1_mixing, "op2_secret_scan": op2_secret_scan}
 ORACLE: dict[str, str] = {}
