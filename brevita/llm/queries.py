@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import mixing, secret_scan
+from brevita.llm import mixing, secret_scan, warc
 from brevita.llm.common import prepare, table
+from brevita.session import fresh_dir
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +27,25 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_secret_scan": op2_secret_scan}
-ORACLE: dict[str, str] = {}
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_dir(prepare(spark), "warc")
+    # Smaller than the defaults, which suit tables of terabytes.
+    warc.write_warc(table(spark, sf_dir, "pages"), folder, shard_bytes=16 << 20, file_bytes=4 << 20)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {"op1_mixing": op1_mixing, "op2_secret_scan": op2_secret_scan, "op8_warc": op8_warc}
+ORACLE = {
+    "op8_warc": """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+f as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first_id
+  from p)
+select page_id, payload_bytes, payload_digest,
+  case when first_id = page_id then 'response' else 'revisit' end as record_type,
+  case when first_id <> page_id then first_id end as refers_to
+from f
+""",
+}
