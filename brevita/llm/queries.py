@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import mixing, secret_scan, warc
+from brevita.llm import contamination, mixing, secret_scan, warc
 from brevita.llm.common import prepare, table
 from brevita.session import fresh_dir
 
@@ -27,6 +27,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination.contaminated(docs, benchmark).select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_dir(prepare(spark), "warc")
     # Smaller than the defaults, which suit tables of terabytes.
@@ -34,7 +46,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_secret_scan": op2_secret_scan, "op8_warc": op8_warc}
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_secret_scan": op2_secret_scan,
+    "op7_contamination": op7_contamination,
+    "op8_warc": op8_warc,
+}
 ORACLE = {
     "op8_warc": """
 with p as (
