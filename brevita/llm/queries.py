@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import contamination, mixing, secret_scan, warc
+from brevita.llm import contamination, mixing, secret_scan, substrings, warc
 from brevita.llm.common import prepare, table
 from brevita.session import fresh_dir
 
@@ -27,6 +27,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    cut = substrings.remove_repeats(docs, texts=False)
+    return cut.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return contamination.contaminated(docs, benchmark).select(
@@ -49,6 +55,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
+    "op6_substrings": op6_substrings,
     "op7_contamination": op7_contamination,
     "op8_warc": op8_warc,
 }
