@@ -245,7 +245,7 @@ def write_warc(
     stream = (
         placed(records)
         .unionByName(placed(marks), allowMissingColumns=True)
-        .repartition(shards, "shard")
+        .repartition(4 * shards, "shard")  # few shards share a task by chance
         .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "digest", F.col("mark").desc(), "url")
     )
     manifest = stream.mapInArrow(_writer(folder, file_bytes, date), _MANIFEST)
