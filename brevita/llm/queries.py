@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import contamination, mixing, secret_scan, substrings, warc
+from brevita.llm import contamination, lines, mixing, secret_scan, substrings, warc
 from brevita.llm.common import prepare, table
 from brevita.session import fresh_dir
 
@@ -52,12 +52,23 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated_chunks(docs).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
     "op6_substrings": op6_substrings,
     "op7_contamination": op7_contamination,
     "op8_warc": op8_warc,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE = {
     "op8_warc": """
