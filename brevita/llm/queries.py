@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import contamination, lines, mixing, secret_scan, substrings, warc
-from brevita.llm.common import prepare, table
+from brevita.llm import contamination, langid, lines, mixing, quality, secret_scan, substrings, warc
+from brevita.llm.common import crc_remainder, prepare, table
 from brevita.session import fresh_dir
 
 
@@ -27,6 +27,28 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(crc_remainder(F.col("doc_id"), 5) != 0))
+    return quality.score(docs, model).select(
+        "row.doc_id",
+        F.coalesce(crc_remainder(F.col("row.doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    net = langid.train(docs.filter(crc_remainder(F.col("doc_id"), 4) != 2))
+    return langid.predict(docs, net).select(
+        "row.doc_id",
+        F.coalesce(crc_remainder(F.col("row.doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     cut = substrings.remove_repeats(docs, texts=False)
@@ -65,6 +87,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
+    "op4_quality": op4_quality,
+    "op5_langid": op5_langid,
     "op6_substrings": op6_substrings,
     "op7_contamination": op7_contamination,
     "op8_warc": op8_warc,
