@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import contamination, langid, lines, mixing, quality, secret_scan, substrings, warc
+from brevita.llm import contamination, langid, lines, mixing, neardup, quality, secret_scan, substrings, warc
 from brevita.llm.common import crc_remainder, prepare, table
 from brevita.session import fresh_dir
 
@@ -27,6 +27,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return neardup.near_duplicates(docs, width=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.filter(crc_remainder(F.col("doc_id"), 5) != 0))
@@ -87,6 +92,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
+    "op3_neardup": op3_neardup,
     "op4_quality": op4_quality,
     "op5_langid": op5_langid,
     "op6_substrings": op6_substrings,
