@@ -97,10 +97,11 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines:
         .select("hash", "bytes", "k1", "k2", "at")
         .distinct()
     )
+    # Texts meet their narrow side by a sort on both keys at every size: no side grows into a plan that small tables did not have.
     # Bytes of the first occurrences: texts that hold one, cut again at the places wanted.
     wanted = first.groupBy("f1", "f2").agg(F.collect_list(F.struct("f_at", "hash", "bytes")).alias("wanted"))
     sources = (
-        keyed.join(wanted, _same("k", "f"))
+        keyed.join(wanted.hint("merge"), _same("k", "f"))
         .select(F.explode(_picked(chunks(F.col("text"), divisor), F.col("wanted"))).alias("p"))
         .select("p.hash", "p.bytes", "p.chunk")
         .groupBy("hash", "bytes")
@@ -113,7 +114,7 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines:
     )
     names = docs.columns
     rows = docs.select(F.struct(*names).alias("_row"), *_keys(F.col("doc_id"), F.col("text")))
-    matched = rows.join(pin(gone), _same("k", "g"), "left")
+    matched = rows.join(pin(gone).hint("merge"), _same("k", "g"), "left")
     # As strings, for which array_except works with a hash set: linear also for texts of very many chunks.
     parts = F.transform(chunks(F.col("_row.text"), divisor), lambda c, i: _placed(i, c))
     left_over = F.transform(F.array_except(parts, F.col("_gone")), lambda x: F.substr(x, F.instr(x, ":") + 1))
