@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevita.llm.common import uniform
+from brevita.session import pin
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -136,7 +137,7 @@ def fit(
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 13) -> DataFrame:
     """At most ``per_language`` ids of each language: (doc_id, lang), chosen by a hash. Null ids and languages are left out."""
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = pin(known.groupBy("lang").agg(F.count("*").alias("n")))  # its real size is known, so the rows stay where they are
     drawn = uniform(F.col("doc_id"), F.lit(seed))
     # First about twice as many as wanted, so that ranking a language's rows is a small task whatever its share.
     few = known.join(counts, "lang").filter(drawn * F.col("n") < 2 * per_language).select("doc_id", "lang").distinct()
