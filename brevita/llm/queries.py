@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from brevita.llm import contamination, langid, lines, mixing, neardup, quality, secret_scan, substrings, warc
+from brevita.llm import contamination, langid, lines, mixing, neardup, quality, secret_scan, substrings, topk, warc
 from brevita.llm.common import crc_remainder, prepare, table
 from brevita.session import fresh_dir
 
@@ -79,6 +79,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(spark), sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("q"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0).select("query_id", "rank", "vec_id", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeated_chunks(docs).select(
@@ -98,9 +103,22 @@ QUERIES = {
     "op6_substrings": op6_substrings,
     "op7_contamination": op7_contamination,
     "op8_warc": op8_warc,
+    "op9_topk": op9_topk,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE = {
+    "op9_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as q
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+r as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 10
+""",
     "op8_warc": """
 with p as (
   select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
