@@ -28,6 +28,7 @@ GROUP_ROWS = 256
 CHUNK_BLOCKS = 512
 SALTS = 16
 LEAF = 64
+QUERY_LEAF = 4
 FANOUT = 16
 BASE = 1.3
 _NO_ID = np.iinfo(np.int64).max
@@ -100,7 +101,7 @@ class Search:
         self.scores = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), _NO_ID, np.int64)
         self.filled = np.zeros((len(queries), k), bool)
-        self.tree = cover_tree(self.q)
+        self.tree = cover_tree(self.q, leaf=QUERY_LEAF)
 
     def run(self, data: np.ndarray, data_ids: np.ndarray, tree: Node) -> None:
         stack = [(self.tree, tree)]
