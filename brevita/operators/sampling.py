@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from brevita.functions.keys import hash_bucket, hash_order
 from brevita.session import pin
 
-# Broadcast a table of wanted buckets or cuts only if its row bound is at most this.
-MAX_BROADCAST_ROWS = 100_000
 SAMPLE_SEED = "length"
 SPLIT_SEED = 42
 
@@ -27,11 +25,6 @@ class NotEnoughExamples(ValueError):
     """Fewer rows than the splits need."""
 
 
-def _bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a table proven to have at most ``max_rows`` rows, if that is small."""
-    return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
-
-
 def _with_order(df: DataFrame, seed: int | str) -> DataFrame:
     ordered = df.withColumn("h", hash_order(F.col("doc_id"), seed))
     return ordered.withColumn("bucket", hash_bucket(F.col("h")))
@@ -62,7 +55,8 @@ def systematic_sample(pool: DataFrame, target_size: int, length_col: str = "text
     rows = _with_order(pool, SAMPLE_SEED)
 
     buckets = rows.groupBy(length_col, "bucket").agg(F.count("*").alias("n"))
-    # One row per distinct length: the only window without a partition, over at most a few thousand rows.
+    # One row per distinct length, a number of characters: the only window without a partition. Its rows are at most
+    # the length limit of the pool (``LengthBand.max_text``), whatever the number of documents.
     by_length = (
         buckets.groupBy(length_col)
         .agg(F.sum("n").alias("length_rows"))
@@ -91,7 +85,8 @@ def systematic_sample(pool: DataFrame, target_size: int, length_col: str = "text
         F.when(whole, F.lit(True)).otherwise(pick_at_or_after("start") < F.col("start") + F.col("n"))
     ).select(length_col, "bucket", "start", "total")
     in_bucket = Window.partitionBy(length_col, "bucket").orderBy("h", "pool_pos")
-    ranked = rows.join(_bounded(wanted, target_size), [length_col, "bucket"]).withColumn(
+    # At most ``target_size`` rows; written, so that Catalyst picks the join by their real size.
+    ranked = rows.join(pin(wanted), [length_col, "bucket"]).withColumn(
         "rank", F.col("start") + F.row_number().over(in_bucket) - 1
     )
     picked = F.when(whole, F.lit(True)).otherwise(pick_at_or_after("rank") == F.col("rank"))
@@ -145,71 +140,81 @@ def _shares(counts: DataFrame, size: int) -> DataFrame:
     return shared.select(*counts.columns, take.alias("take"))
 
 
-def _last_buckets(rows: DataFrame, size: int, stratified: bool, strata_bound: int) -> DataFrame:
-    """(stratum, bucket, nth): where each stratum's draw ends. At most one row per stratum.
+def _stratifiable(counts: DataFrame, size: int) -> bool:
+    """The rule of a draw: every stratum has two rows, and the strata outnumber neither side.
 
-    The draw is stratified by ``len_bucket`` only if every stratum has two rows and the strata outnumber
-    neither side; else there is one stratum, -1.
+    ``counts`` (stratum, n) is one row per stratum; strata without rows do not count. One small aggregate.
     """
-    counts = rows.groupBy(*(["len_bucket"] if stratified else []), "bucket").agg(F.count("*").alias("n"))
-    stratum = F.lit(UNSTRATIFIED)
-    if stratified:
-        everything, mine = Window.partitionBy(), Window.partitionBy("len_bucket")
-        counts = (
-            counts.withColumns(
-                {
-                    "total": F.sum("n").over(everything),
-                    "rows": F.sum("n").over(mine),
-                    "nth_stratum": F.dense_rank().over(Window.orderBy("len_bucket")),
-                }
-            )
-            .withColumns(
-                {"fewest": F.min("rows").over(everything), "strata": F.max("nth_stratum").over(everything)}
-            )
-        )
-        usable = (
-            (F.col("fewest") >= 2) & (F.col("strata") <= size) & (F.col("total") - size >= F.col("strata"))
-        )
-        too_many = F.raise_error(F.lit(f"more than {strata_bound} strata")).cast("int")
-        stratum = (
-            F.when(F.col("strata") > strata_bound, too_many).when(usable, F.col("len_bucket")).otherwise(stratum)
-        )
-    counts = counts.withColumn("stratum", stratum).groupBy("stratum", "bucket").agg(F.sum("n").alias("n"))
-    placed = _shares(counts, size).withColumn("start", _running("n", Window.partitionBy("stratum").orderBy("bucket")))
-    ends_here = (F.col("start") < F.col("take")) & (F.col("take") <= F.col("start") + F.col("n"))
-    return placed.filter(ends_here).select("stratum", "bucket", (F.col("take") - F.col("start")).alias("nth"))
-
-
-def _cuts(rows: DataFrame, size: int, stratified: bool, strata_bound: int) -> Column:
-    """Map of stratum to its last drawn row (h, pool_pos), as a scalar, so that a look-up needs no join."""
-    last = _bounded(_last_buckets(rows, size, stratified, strata_bound), strata_bound)
-    columns = ["h", "pool_pos", "bucket"] + (["len_bucket"] if stratified else [])
-    near = rows.select(*columns).join(last, "bucket")
-    if stratified:
-        near = near.filter((F.col("stratum") == UNSTRATIFIED) | (F.col("stratum") == F.col("len_bucket")))
-    in_bucket = Window.partitionBy("stratum", "bucket").orderBy("h", "pool_pos")
-    ends = near.withColumn("place", F.row_number().over(in_bucket)).filter(F.col("place") == F.col("nth"))
-    entries = F.collect_list(F.struct("stratum", F.struct("h", "pool_pos")))
-    return ends.agg(F.map_from_entries(entries).alias("cuts")).scalar()
-
-
-def _draw(
-    rows: DataFrame, size: int, flag: str, strata_bound: int, stratified: bool, among: Column | None = None
-) -> DataFrame:
-    """Mark exactly ``size`` of the rows where ``among`` holds."""
-    if size == 0:
-        return rows.withColumn(flag, F.lit(False))
-    source = rows if among is None else rows.filter(among)
-    marked = rows.withColumn("cuts", _cuts(source, size, stratified, strata_bound))
-    cut = F.try_element_at("cuts", F.lit(UNSTRATIFIED))
-    if stratified:
-        cut = F.coalesce(F.try_element_at("cuts", F.col("len_bucket")), cut)
-    marked = marked.withColumn("cut", cut)
-    inside = (F.col("h") < F.col("cut.h")) | (
-        (F.col("h") == F.col("cut.h")) & (F.col("pool_pos") <= F.col("cut.pool_pos"))
+    fewest, strata, total = counts.filter("n > 0").agg(F.min("n"), F.count("*"), F.sum("n")).first()
+    return bool(strata) and fewest >= 2 and strata <= size and total - size >= strata
+
+
+def _takes(counts: DataFrame, test_size: int, val_size: int) -> DataFrame:
+    """(stratum, n, n_test, n_val): both draws by largest remainders, validation from what test leaves."""
+    test = _shares(counts, test_size).select(
+        "stratum", F.col("n").alias("all_rows"), F.col("take").alias("n_test"), (F.col("n") - F.col("take")).alias("n")
     )
-    inside = F.coalesce(inside, F.lit(False))
-    return marked.withColumn(flag, inside if among is None else among & inside).drop("cuts", "cut")
+    return _shares(test, val_size).select("stratum", F.col("all_rows").alias("n"), "n_test", F.col("take").alias("n_val"))
+
+
+def _parts(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """Add ``part``: how many of its stratum's ``ends`` (ascending ranks, from 1) a row lies behind.
+
+    Ranks come from one histogram of (stratum, bucket). The few buckets that hold an end are ordered row by row, and the rows
+    found there, one per end, are joined to all rows.
+    """
+    histogram = rows.groupBy("stratum", "bucket").agg(F.count("*").alias("n"))
+    start = _running("n", Window.partitionBy("stratum").orderBy("bucket"))
+    wanted = (
+        histogram.withColumn("start", start)
+        .join(ends, "stratum")
+        .select("stratum", "bucket", "n", F.explode(F.transform("ends", lambda e: e - F.col("start"))).alias("nth"))
+        .filter("nth > 0 and nth <= n")
+        .groupBy("stratum", "bucket")
+        .agg(F.collect_list("nth").alias("nths"))
+    )
+    place = F.row_number().over(Window.partitionBy("stratum", "bucket").orderBy("h", "pool_pos"))
+    key = F.struct("h", "pool_pos")
+    cuts = (
+        rows.select("stratum", "bucket", "h", "pool_pos")
+        .join(pin(wanted), ["stratum", "bucket"])
+        .withColumn("place", place)
+        .select("stratum", key.alias("cut"), "place", F.explode("nths").alias("nth"))
+        .filter("place = nth")
+        .groupBy("stratum")
+        .agg(F.collect_list("cut").alias("cuts"))
+    )
+    ends_and_cuts = pin(ends.join(cuts, "stratum", "left"))
+    none_before = F.size(F.filter("ends", lambda e: e == 0))
+    behind = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<struct<h:bigint,pool_pos:bigint>>")), lambda c: c < key))
+    return rows.join(ends_and_cuts, "stratum").withColumn("part", none_before + behind).drop("ends", "cuts")
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    return pin(rows.groupBy("stratum").agg(F.count("*").alias("n")))
+
+
+def _drawn(rows: DataFrame, size: int) -> DataFrame:
+    """One draw on its own, stratified if it can be: adds ``drawn``."""
+    if size == 0:
+        return rows.withColumn("drawn", F.lit(False))
+    counts = _counts(rows)
+    kept = rows.withColumn("own_stratum", F.col("stratum"))
+    if not _stratifiable(counts, size):
+        kept = kept.withColumn("stratum", F.lit(UNSTRATIFIED))
+        counts = counts.groupBy(F.lit(UNSTRATIFIED).alias("stratum")).agg(F.sum("n").alias("n"))
+    ends = pin(_shares(counts, size).select("stratum", F.array("take").alias("ends")))
+    marked = _parts(kept, ends).withColumn("stratum", F.col("own_stratum"))
+    return marked.withColumn("drawn", F.col("part") == 0).drop("own_stratum", "part")
+
+
+def _both_stratified(counts: DataFrame, test_size: int, val_size: int) -> DataFrame | None:
+    """(stratum, n, n_test, n_val) if both draws can be stratified, else nothing: the one rule of split and allocation."""
+    if test_size and not _stratifiable(counts, test_size):
+        return None
+    takes = pin(_takes(counts, test_size, val_size))
+    left = takes.select("stratum", (F.col("n") - F.col("n_test")).alias("n"))
+    return None if val_size and not _stratifiable(left, val_size) else takes
 
 
 def exact_split(
@@ -218,39 +223,45 @@ def exact_split(
     val_size: int,
     seed: int = SPLIT_SEED,
     stratified: bool = True,
-    strata_bound: int = 10,
 ) -> DataFrame:
     """Label every row ``test``, ``val`` or ``train`` with exact sizes.
 
-    ``pool`` has ``doc_id``, ``pool_pos`` and, if stratified, ``len_bucket`` with at most
-    ``strata_bound`` values (more raise). Test is drawn first, validation from what is left; each draw falls back to a
-    single stratum on its own when a stratum has fewer than two rows or the strata outnumber either side.
-    The narrow rows are written before each draw, which reads them three times.
-    Rows are drawn in hash order of (seed, id), because the seeded shuffle of an outside library cannot be
-    reproduced; sizes and per-stratum shares are the same. Labelling compares each row with at most
-    ``strata_bound`` cut values and moves no rows.
+    ``pool`` has ``doc_id``, ``pool_pos`` and, if stratified, ``len_bucket``, with any number of values. Test is drawn first, validation
+    from what is left; each draw falls back to a single stratum on its own when a stratum has fewer than two rows or the
+    strata outnumber either side. Rows are drawn in hash order of (seed, id), because the seeded shuffle of an outside library
+    cannot be reproduced; sizes and per-stratum shares are the same.
+
+    Both draws are ranks of that order within a stratum, so one histogram and one look-up serve both. If a draw falls back, its order is
+    another one, and the draws are made one after the other.
     """
-    rows = pin(_with_order(pool, seed))
-    tested = _draw(rows, test_size, "is_test", strata_bound, stratified)
-    tested = pin(tested) if test_size and val_size else tested
-    labelled = _draw(tested, val_size, "is_val", strata_bound, stratified, among=~F.col("is_test"))
-    split = F.when(F.col("is_test"), "test").when(F.col("is_val"), "val").otherwise("train")
-    return labelled.select(*pool.columns, split.alias("split"))
+    stratum = F.col("len_bucket") if stratified else F.lit(UNSTRATIFIED)
+    rows = pin(_with_order(pool, seed).withColumn("stratum", stratum))
+    counts = _counts(rows)
+    takes = _both_stratified(counts, test_size, val_size) if stratified else _takes(counts, test_size, val_size)
+    if takes is not None:
+        ends = pin(takes.select("stratum", F.array("n_test", F.col("n_test") + F.col("n_val")).alias("ends")))
+        names = F.array(F.lit("test"), F.lit("val"), F.lit("train"))
+        return _parts(rows, ends).select(*pool.columns, F.element_at(names, F.col("part") + 1).alias("split"))
+    tested = pin(_drawn(rows, test_size))
+    rest = _drawn(tested.filter("not drawn").drop("drawn"), val_size)
+    return (
+        tested.filter("drawn")
+        .select(*pool.columns, F.lit("test").alias("split"))
+        .unionByName(rest.select(*pool.columns, F.when(F.col("drawn"), "val").otherwise("train").alias("split")))
+    )
 
 
 def split_allocation(pool: DataFrame, test_size: int, val_size: int) -> DataFrame:
-    """Rows per length bucket and split, worked out from the bucket counts alone."""
-    counts = pool.groupBy(F.col("len_bucket").alias("stratum")).agg(F.count("*").alias("n"))
-    test = _shares(counts, test_size).select(
-        "stratum", F.col("n").alias("all_rows"), F.col("take").alias("n_test"), (F.col("n") - F.col("take")).alias("n")
-    )
-    return _shares(test, val_size).select(
-        F.col("stratum").alias("len_bucket"),
-        F.col("all_rows").alias("n"),
-        "n_test",
-        F.col("take").alias("n_val"),
-        (F.col("n") - F.col("take")).alias("n_train"),
-    )
+    """Rows per length bucket and split: from the bucket counts alone, or, if a draw falls back, from the rows it draws."""
+    counts = pin(pool.groupBy(F.col("len_bucket").alias("stratum")).agg(F.count("*").alias("n")))
+    takes = _both_stratified(counts, test_size, val_size)
+    if takes is not None:
+        return takes.select(
+            F.col("stratum").alias("len_bucket"), "n", "n_test", "n_val", (F.col("n") - F.col("n_test") - F.col("n_val")).alias("n_train")
+        )
+    drawn = exact_split(pool, test_size, val_size)
+    of = lambda name: F.count_if(F.col("split") == name).alias(f"n_{name}")
+    return drawn.groupBy("len_bucket").agg(F.count("*").alias("n"), of("test"), of("val"), of("train"))
 
 
 def split_stats(labelled: DataFrame) -> DataFrame:

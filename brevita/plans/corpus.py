@@ -14,7 +14,8 @@ from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
 from brevita.sources.tables import load_training_splits
 
-# Sizes of the registered sample and splits: small enough that the smallest scale fills them.
+# Sizes of the registered sample and splits: small enough that the smallest scale fills them. Only ``systematic_sample`` samples;
+# all other queries work on the whole curated pool.
 SAMPLE_SIZE = 250
 TEST_SIZE = 20
 VAL_SIZE = 30
@@ -31,13 +32,15 @@ def curated(spark: SparkSession, sf: str) -> DataFrame:
     return pin(curation.curated_positions(bills_pool(spark, sf)))
 
 
-def sampled(spark: SparkSession, sf: str) -> DataFrame:
-    return pin(sampling.systematic_sample(curated(spark, sf), SAMPLE_SIZE))
+def split_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.exact_split(sampling.length_deciles(curated(spark, sf)), TEST_SIZE, VAL_SIZE)
 
 
-def split_rows(spark: SparkSession, sf: str, stratified: bool = True) -> DataFrame:
-    bucketed = sampling.length_deciles(sampled(spark, sf))
-    return sampling.exact_split(bucketed, TEST_SIZE, VAL_SIZE, stratified=stratified)
+def lone_stratum(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated pool in two strata, one of them a single row, so that no draw can be stratified."""
+    pool = curated(spark, sf)
+    first = pool.agg(F.min("pool_pos")).scalar()
+    return pool.withColumn("len_bucket", (F.col("pool_pos") == first).cast("int"))
 
 
 def split_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +92,7 @@ def systematic_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def length_deciles(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.length_deciles(sampled(spark, sf)).select(*ID, "text_len", "len_bucket")
+    return sampling.length_deciles(curated(spark, sf)).select(*ID, "text_len", "len_bucket")
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,11 +100,16 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unstratified_split(spark: SparkSession, sf: str) -> DataFrame:
-    return split_rows(spark, sf, stratified=False).select(*ID, "split")
+    """The fallback, set off by its data: both draws are made over the whole pool."""
+    return sampling.exact_split(lone_stratum(spark, sf), TEST_SIZE, VAL_SIZE).select(*ID, "len_bucket", "split")
 
 
 def split_allocation(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.split_allocation(sampling.length_deciles(sampled(spark, sf)), TEST_SIZE, VAL_SIZE)
+    return sampling.split_allocation(sampling.length_deciles(curated(spark, sf)), TEST_SIZE, VAL_SIZE)
+
+
+def split_allocation_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.split_allocation(lone_stratum(spark, sf), TEST_SIZE, VAL_SIZE)
 
 
 def split_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,6 +172,7 @@ QUERIES = {
     "stratified_split": stratified_split,
     "unstratified_split": unstratified_split,
     "split_allocation": split_allocation,
+    "split_allocation_fallback": split_allocation_fallback,
     "split_stats": split_stats,
     "instruction_records": instruction_records,
     "chat_template": chat_template,
@@ -214,11 +223,11 @@ placed as (select *, row_number() over (order by text_len, {_sql_order("length")
 sample as (select * from placed where n <= {SAMPLE_SIZE}
   or pos in (select (i * (n - 1)) // {SAMPLE_SIZE - 1} from range({SAMPLE_SIZE}) t(i)))"""
 
-DECILES = f"""{SAMPLE},
+DECILES = f"""{POOL},
 edges as (select distinct unnest(quantile_cont(text_len, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])) as e
-  from sample),
+  from pool),
 bucketed as (select *, cast((select count(*) from edges where e < s.text_len and e > (select min(e) from edges)) as int) as len_bucket
-  from sample s)"""
+  from pool s)"""
 
 
 def _sql_allocation(counts: str, size: int, out: str) -> str:
@@ -229,8 +238,8 @@ def _sql_allocation(counts: str, size: int, out: str) -> str:
     from {counts}) a)"""
 
 
-def _sql_split(stratum: str) -> str:
-    return f"""{DECILES},
+def _sql_split(stratum: str, rows: str = DECILES) -> str:
+    return f"""{rows},
 keyed as (select src_rank, doc_id, text_len, summary_len, text, summary, len_bucket as bucket_kept,
   {stratum} as len_bucket, {_sql_order("42")} as h from bucketed),
 c1 as (select len_bucket, count(*) as n from keyed group by len_bucket),
@@ -244,6 +253,12 @@ labelled as (select k.* exclude (len_bucket, bucket_kept), k.bucket_kept as len_
 
 
 SPLIT = _sql_split("len_bucket")
+LONE = _sql_split(
+    "0",
+    f"""{POOL},
+bucketed as (select *, cast((src_rank, doc_id) = (select (src_rank, doc_id) from pool order by src_rank, doc_id limit 1) as int)
+  as len_bucket from pool)""",
+)
 CHAT = (
     f"{sql_text(CHAT_SYSTEM + INSTRUCTION + CHAT_USER)} || text || {sql_text(CHAT_ASSISTANT)} || summary"
     f" || {sql_text(CHAT_END)}"
@@ -268,7 +283,9 @@ from firsts""",
     "systematic_sample": f"with {SAMPLE} select src_rank, doc_id, text_len from sample",
     "length_deciles": f"with {DECILES} select src_rank, doc_id, text_len, len_bucket from bucketed",
     "stratified_split": f"with {SPLIT} select src_rank, doc_id, len_bucket, split from labelled",
-    "unstratified_split": f"with {_sql_split('0')} select src_rank, doc_id, split from labelled",
+    "unstratified_split": f"with {LONE} select src_rank, doc_id, len_bucket, split from labelled",
+    "split_allocation_fallback": f"""with {LONE} select len_bucket, count(*) as n, count(*) filter (split = 'test') as n_test,
+  count(*) filter (split = 'val') as n_val, count(*) filter (split = 'train') as n_train from labelled group by len_bucket""",
     "split_allocation": f"""with {SPLIT} select len_bucket, n, cast(a1.take as bigint) as n_test,
   cast(a2.take as bigint) as n_val, cast(n - a1.take - a2.take as bigint) as n_train
 from c1 join a1 using (len_bucket, n) join (select len_bucket, take from a2) a2 using (len_bucket)""",

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.functions.keys import pool_position
-from brevita.sources.tables import spread
 
 # Schema of the event stream, stated because a file stream does not infer one.
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -19,9 +18,6 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 TABLES = ("documents", "events", "conversations")
 
-# Tables with texts, and the key that spreads them over the cores when the file is a single split.
-TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -108,7 +104,6 @@ def duck(view: str) -> str:
 def derived(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """The view as a DataFrame over the tables below ``sf_dir``."""
     tables = {name: table(spark, sf_dir, name) for name in TABLES if "{" + name + "}" in view}
-    tables |= {name: spread(df, TEXT_KEYS[name]) for name, df in tables.items() if name in TEXT_KEYS}
     text = view.replace("{string}", "string").replace("{flags}", "")
     return spark.sql(text, **tables)
 

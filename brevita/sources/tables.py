@@ -11,18 +11,6 @@ PAIR_COLUMNS = ("doc_id", "text", "summary")
 PREDICTION_COLUMNS = ("id", "model", "reference_summary", "generated_summary")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan of few input splits one partition per core.
-
-    A single small file is one split and would keep all later text work on one core. Real corpora have
-    more splits than cores, and then the scan is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def load_corpus(spark: SparkSession, *paths: str) -> DataFrame:
     """Pool of named corpus splits, one path each, ordered as given."""
     return pool_splits(*[spark.read.parquet(p).select(*PAIR_COLUMNS) for p in paths])

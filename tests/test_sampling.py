@@ -95,10 +95,24 @@ def test_unstratified_needs_no_bucket(spark):
     assert got.split.value_counts().to_dict() == {"train": 70, "val": 20, "test": 10}
 
 
-def test_more_strata_than_promised_raise(spark):
-    with pytest.raises(Exception, match="more than 10 strata"):
-        split_of(spark, list(range(11)) * 4, 12, 12)
-    assert len(split_of(spark, list(range(11)) * 4, 12, 12, strata_bound=11)) == 44
+def test_any_number_of_strata(spark):
+    got = split_of(spark, list(range(500)) * 4, 600, 700)
+    assert got.split.value_counts().to_dict() == {"train": 700, "val": 700, "test": 600}
+    assert got[got.split == "test"].len_bucket.value_counts().max() <= 2
+
+
+@pytest.mark.parametrize(
+    "sizes, test, val",
+    [([1, 20, 20, 19], 12, 6), ([10, 20, 30], 12, 6), ([2, 30, 30], 3, 20), ([500, 2, 40], 30, 3), ([5, 5], 0, 4), ([5, 5], 4, 0)],
+)
+def test_allocation_is_what_the_split_draws(spark, sizes, test, val):
+    buckets = [b for b, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame([(i, i, b) for i, b in enumerate(buckets)], "pool_pos bigint, doc_id bigint, len_bucket int")
+    got = {r.len_bucket: (r.n, r.n_test, r.n_val, r.n_train) for r in sampling.split_allocation(df, test, val).collect()}
+    drawn = sampling.exact_split(df, test, val).toPandas()
+    for b, n in enumerate(sizes):
+        of = drawn[drawn.len_bucket == b].split.value_counts()
+        assert got[b] == (n, of.get("test", 0), of.get("val", 0), of.get("train", 0))
 
 
 def test_guard_raises_before_writing(spark):
