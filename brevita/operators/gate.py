@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,13 +17,6 @@ NO_CHAMPION = "No cached champion exists."
 COMPARED = "Compared against cached champion."
 ROUGE_METRICS = ("rouge1", "rouge2", "rougeL")
 
-# Candidates per block of a history; see promotion_history.
-BLOCK_SPAN = 100_000
-
-# Record scores of one family that are folded in one row. Scorecards are rounded to six digits, so scores between 0
-# and 1 have at most a million records; a random history of a million rows has about fourteen.
-MAX_FOLD = 100_000
-
 
 def _required(value: Column, message: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(message)).cast("double"))
@@ -36,12 +27,12 @@ def rouge_average(metrics: tuple[str, ...] = ROUGE_METRICS) -> Column:
     present = [F.col(m).cast("double") for m in metrics]
     total = sum((F.coalesce(v, F.lit(0.0)) for v in present[1:]), F.coalesce(present[0], F.lit(0.0)))
     count = sum((v.isNotNull().cast("int") for v in present[1:]), present[0].isNotNull().cast("int"))
-    return _required(F.when(count > 0, total / count), "ROUGE results must include at least one rouge metric.")
+    return _required(F.when(count > 0, total / count), "no ROUGE metric is present")
 
 
 def judge_average(overall: str = "overall_average") -> Column:
     """Overall judge mean on a scale of 0 to 1; raises if missing."""
-    return _required(F.col(overall).cast("double"), "judge summary must include overall_average.") / JUDGE_SCALE
+    return _required(F.col(overall).cast("double"), "the judge summary has no overall average") / JUDGE_SCALE
 
 
 def build_scorecards(rouge: DataFrame, judge: DataFrame) -> DataFrame:
@@ -106,68 +97,64 @@ def promotion_decision(
     )
 
 
-def _fold(records: DataFrame, threshold: float) -> DataFrame:
-    """Promotions of families whose record scores fit into one row each, as (family, seq, promoted)."""
-    pair = "array<struct<seq:bigint,combined_score:double>>"
-    folded = records.groupBy("family").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "combined_score"))).alias("records"),
-        F.first("entry").alias("entry"),
-    )
-    at_start = F.array(F.struct(F.lit(None).cast("bigint").alias("seq"), F.col("entry").alias("combined_score")))
-    folded = folded.withColumn(
-        "start", F.when(F.col("entry").isNotNull(), at_start.cast(pair)).otherwise(F.array().cast(pair))
-    )
+def _blocked(df: DataFrame, *order: str) -> DataFrame:
+    """The rows dealt by ranges of (family, order), with the number of their range in ``block``.
+
+    Ranges hold about equal numbers of rows whatever the values are, so a family with most of the rows becomes many blocks and
+    small families share one. Written, so that the numbers stand.
+    """
+    return pin(df.repartitionByRange("family", *order).withColumn("block", F.spark_partition_id()))
+
 
-    def step(held: Column, candidate: Column) -> Column:
-        champion = F.get(held, F.size(held) - 1)["combined_score"]
-        beats = champion.isNull() | (candidate["combined_score"] > champion + F.lit(threshold))
-        return F.when(beats, F.concat(held, F.array(candidate))).otherwise(held)
+def _successors(records: DataFrame, threshold: float) -> DataFrame:
+    """(family, seq, next_seq): the lowest record score above each record's score + threshold, if there is one.
 
-    promoted = folded.select("family", F.explode(F.aggregate("records", F.col("start"), step)).alias("p"))
-    return promoted.filter(F.col("p.seq").isNotNull()).select(
-        "family", "p.seq", F.col("p.combined_score").alias("promoted")
+    Records and bars (score + threshold) are laid out by value. A bar's successor is the next record above it: the last one seen from above
+    within the block, else the lowest of the blocks above.
+    """
+    point = records.select("family", F.col("combined_score").alias("key"), F.lit(False).alias("is_bar"), "seq")
+    bar = records.select("family", (F.col("combined_score") + F.lit(threshold)).alias("key"), F.lit(True).alias("is_bar"), "seq")
+    laid = _blocked(point.unionByName(bar), "key")
+    seen = F.when(~F.col("is_bar"), F.col("seq"))
+    above = Window.partitionBy("family", "block").orderBy(F.desc("key"), F.desc("is_bar"))
+    lowest = laid.groupBy("family", "block").agg(F.min_by(seen, F.when(~F.col("is_bar"), F.col("key"))).alias("lowest"))
+    higher = Window.partitionBy("family").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = lowest.select("family", "block", F.last("lowest", ignorenulls=True).over(higher).alias("beyond"))
+    inside = F.last(seen, ignorenulls=True).over(above.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        laid.withColumn("inside", inside)
+        .filter("is_bar")
+        .join(beyond, ["family", "block"])
+        .select("family", "seq", F.coalesce("inside", "beyond").alias("next_seq"))
+        .filter("next_seq is not null")
     )
 
 
-def _climb(records: DataFrame, threshold: float) -> DataFrame:
-    """The same without gathering a family: one step per promotion, for all families at once.
+def _promotions(records: DataFrame, entry: DataFrame | None, threshold: float) -> DataFrame:
+    """The promoted ones among each family's records (family, seq, combined_score, rising), as (family, seq, promoted).
 
-    Record scores rise with ``seq``, so a family's next promotion is its lowest score above the bar: a map-side
-    minimum. Each promotion raises the bar by more than the threshold, so the steps are at most score range / threshold.
+    Every record has one fixed successor, so the promotions are what is reachable from the first one. Reach and leaps double in
+    each round: as many rounds as the logarithm of the longest chain of promotions.
     """
-    held = records.groupBy("family").agg(F.first("entry").alias("promoted"))
-    steps = []
+    records = pin(records.select("family", "seq", "combined_score"))
+    open_ = records
+    if entry is not None:
+        bar = F.col("entry").isNull() | (F.col("combined_score") > F.col("entry") + F.lit(threshold))
+        open_ = records.join(entry, "family", "left").filter(bar)
+    reached = pin(open_.groupBy("family").agg(F.min("seq").alias("seq")))
+    leaps = pin(_successors(records, threshold))
     while True:
-        above = F.col("promoted").isNull() | (F.col("combined_score") > F.col("promoted") + F.lit(threshold))
-        lowest = F.min("combined_score").alias("promoted")
-        held = pin(
-            records.join(held.select("family", "promoted"), "family")
-            .filter(above)
-            .groupBy("family")
-            .agg(F.min_by("seq", "combined_score").alias("seq"), lowest)
-        )
-        steps.append(held)
-        if held.isEmpty():
-            return reduce(DataFrame.unionByName, steps)
-
-
-def _promotions(records: DataFrame, threshold: float, max_fold: int) -> DataFrame:
-    """The promoted ones among each family's record scores."""
-    score = F.col("combined_score")
-    if threshold == 0:
-        beaten = records.filter(F.col("entry").isNull() | (score > F.col("entry")))
-        return beaten.select("family", "seq", score.alias("promoted"))
-    records = pin(records.select("family", "seq", "combined_score", "entry"))
-    longest = records.groupBy("family").count().agg(F.max("count")).first()[0] or 0
-    return _fold(records, threshold) if longest <= max_fold else _climb(records, threshold)
+        further = pin(reached.join(leaps, ["family", "seq"]).select("family", F.col("next_seq").alias("seq")))
+        if further.isEmpty():
+            break
+        reached = pin(reached.unionByName(further))
+        onward = leaps.select("family", F.col("seq").alias("next_seq"), F.col("next_seq").alias("far_seq"))
+        leaps = pin(leaps.join(onward, ["family", "next_seq"]).select("family", "seq", F.col("far_seq").alias("next_seq")))
+    return records.join(reached, ["family", "seq"]).select("family", "seq", F.col("combined_score").alias("promoted"))
 
 
 def promotion_history(
-    candidates: DataFrame,
-    threshold: float = DEFAULT_THRESHOLD,
-    champions: DataFrame | None = None,
-    block_span: int = BLOCK_SPAN,
-    max_fold: int = MAX_FOLD,
+    candidates: DataFrame, threshold: float = DEFAULT_THRESHOLD, champions: DataFrame | None = None
 ) -> DataFrame:
     """Decide every candidate (family, seq, combined_score) against the champion of its moment.
 
@@ -176,41 +163,36 @@ def promotion_history(
     work, because a promoted score always beats every earlier score of its family. (Whatever came before and
     was not promoted was at most champion + threshold, and a promoted score is above that.) Hence:
 
-    1. Block maxima: ``seq`` is unique in a family, so a block of ``block_span`` consecutive values holds at most
-       that many rows, and a family with a third of all rows becomes many blocks.
-    2. Record scores: only blocks whose maximum beats all earlier blocks are read row by row.
-    3. The fold runs over the record scores: in one row per family, or by steps if a family has over ``max_fold``.
+    1. Blocks: ranges of (family, seq) of about equal size, and their maxima.
+    2. Records: rows that beat all earlier ones. Only blocks whose maximum beats all earlier blocks are read row by row.
+    3. Promotions: records reachable from the first one over fixed successors, see ``_promotions``.
     4. Every row takes the latest promotion before it: within its block from a window, else from the blocks before.
 
-    The block table, records and promotions are written in between: they are small, and Catalyst then broadcasts them
-    by their real size. ``champions`` (family, combined_score) starts families off with a champion. ``threshold`` must not
-    be negative.
+    No step depends on the size or spread of ``seq`` or on one family's share. ``seq`` is unique in a family. ``champions`` (family, combined_score)
+    starts families off with a champion. ``threshold`` must not be negative.
     """
     if threshold < 0:
         raise ValueError("promotion_history needs a threshold of at least 0")
     score = F.col("combined_score")
-    block = F.expr(f"seq div {block_span}L").alias("block")
-    rows = candidates.select("family", "seq", score.cast("double").alias("combined_score"), block)
+    rows = _blocked(candidates.select("family", "seq", score.cast("double").alias("combined_score")), "seq")
     earlier_blocks = Window.partitionBy("family").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     in_block = Window.partitionBy("family", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    entry = None if champions is None else pin(champions.select("family", score.cast("double").alias("entry")))
 
+    # At most one row for each block, and one more for each family.
     blocks = rows.groupBy("family", "block").agg(F.max("combined_score").alias("top"))
     blocks = blocks.withColumn("bar", F.max("top").over(earlier_blocks))
-    if champions is None:
-        blocks = blocks.withColumn("entry", F.lit(None).cast("double"))
-    else:
-        entry = champions.select("family", F.col("combined_score").cast("double").alias("entry"))
-        blocks = blocks.join(entry, "family", "left")
-    blocks = pin(blocks)
-
-    rising = blocks.filter(F.col("bar").isNull() | (F.col("top") > F.col("bar"))).drop("top")
+    blocks = pin(blocks.withColumn("entry", F.lit(None).cast("double")) if entry is None else blocks.join(entry, "family", "left"))
+
+    rising = blocks.filter(F.col("bar").isNull() | (F.col("top") > F.col("bar"))).select("family", "block", "bar")
     records = (
         rows.join(rising, ["family", "block"])
         .withColumn("best", F.greatest(F.col("bar"), F.max("combined_score").over(in_block)))
         .filter(F.col("best").isNull() | (score > F.col("best")))
     )
-    promotions = pin(_promotions(records, threshold, max_fold).withColumn("block", block))
-    by_block = promotions.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
+    promotions = pin(_promotions(records, entry, threshold))
+    placed = pin(promotions.join(rows.select("family", "seq", "block"), ["family", "seq"]))
+    by_block = placed.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
     opening = blocks.join(by_block, ["family", "block"], "left").select(
         "family",
         "block",
@@ -218,7 +200,7 @@ def promotion_history(
     )
     held = (
         rows.join(opening, ["family", "block"])
-        .join(promotions, ["family", "block", "seq"], "left")
+        .join(promotions, ["family", "seq"], "left")
         .withColumn("champion", F.coalesce(F.last("promoted", ignorenulls=True).over(in_block), F.col("opening")))
     )
     return held.select(

@@ -15,12 +15,31 @@ PERCENTILES = {"p50_latency_ms": 0.50, "p95_latency_ms": 0.95}
 DIGITS = 6
 
 
+def _newest_days(logs: DataFrame, limit: int) -> DataFrame:
+    """The newest days that hold ``limit`` rows. Counts come from the folders' files without reading a column."""
+    days = logs.groupBy("log_date").agg(F.count("*").alias("n"))
+    newer = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("log_date")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per day.
+    oldest, undated = (
+        days.withColumn("newer", newer).filter(F.col("newer") < limit).agg(F.min("log_date"), F.count_if(F.col("log_date").isNull())).first()
+    )
+    return logs if oldest is None or undated else logs.filter(F.col("log_date") >= F.lit(oldest))
+
+
 def recent_requests(logs: DataFrame, limit: int | None = RECENT_ROWS) -> DataFrame:
-    """Newest rows first; equal times are ordered by request id. ``None`` gives the whole log."""
-    rows = logs.select(*LOG_COLUMNS)
+    """Newest rows first; equal times are ordered by request id. ``None`` gives the whole log.
+
+    Not the whole log is read for it: of a log in ``log_date`` folders only the newest days, then their time column for the time of the
+    last row wanted, then the rows from that time on, a filter that reaches the files.
+    """
     if limit is None:
-        return rows
-    return rows.orderBy(F.desc("timestamp_utc"), "request_id").limit(limit)
+        return logs.select(*LOG_COLUMNS)
+    rows = _newest_days(logs, limit) if "log_date" in logs.columns else logs
+    newest = rows.select("timestamp_utc").orderBy(F.desc("timestamp_utc")).limit(limit)
+    since, found, timed = newest.agg(F.min("timestamp_utc").cast("string"), F.count("*"), F.count("timestamp_utc")).first()
+    if found == limit and timed == limit:
+        rows = rows.filter(F.col("timestamp_utc") >= F.lit(since).cast("timestamp"))
+    return rows.select(*LOG_COLUMNS).orderBy(F.desc("timestamp_utc"), "request_id").limit(limit)
 
 
 def latency_trend(logs: DataFrame, limit: int | None = RECENT_ROWS) -> DataFrame:

@@ -70,12 +70,13 @@ def log_rows(
     error_message: Column | None = None,
     timestamp: Column | None = None,
 ) -> DataFrame:
-    """Log rows of served requests (text, summary, latency_ms): lengths only, never the texts."""
+    """Log rows of served requests (input_length or text, summary, latency_ms): lengths only, never the texts."""
+    input_length = F.col("input_length") if "input_length" in served.columns else F.length("text")
     rows = served.select(
         (F.current_timestamp() if timestamp is None else timestamp).alias("timestamp_utc"),
         request_key(F.col(source_key)).alias("request_id"),
         F.col("latency_ms").cast("double").alias("latency_ms"),
-        F.length("text").alias("input_length"),
+        input_length.alias("input_length"),
         F.length("summary").alias("output_length"),
         (F.lit("success") if status is None else status).alias("status"),
         F.lit(f"{model_repo}/{model_filename}").alias("model_version"),

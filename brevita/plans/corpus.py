@@ -12,7 +12,7 @@ from brevita.operators import curation, records, sampling
 from brevita.plans.views import BILLS, bills_pool, bills_splits, duck
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
-from brevita.sources.tables import load_training_splits
+from brevita.sources.tables import load_corpus, load_training_splits
 
 # Sizes of the registered sample and splits: small enough that the smallest scale fills them. Only ``systematic_sample`` samples;
 # all other queries work on the whole curated pool.
@@ -54,6 +54,27 @@ def corpus_pool(spark: SparkSession, sf: str) -> DataFrame:
     return curation.pool_splits(*bills_splits(spark, sf)).select(*ID, "text", "summary")
 
 
+def loaded_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """Both corpus splits stored and loaded by path."""
+    paths = []
+    for split in bills_splits(spark, sf):
+        paths.append(fresh_dir(spark, "corpus"))
+        split.write.parquet(paths[-1])
+    return load_corpus(spark, *paths).select(*ID, "text", "summary")
+
+
+def minimum_size(spark: SparkSession, sf: str) -> DataFrame:
+    """The guard on the curated pool: passed with its own size, raised with one row more."""
+    pool = curated(spark, sf)
+    found = sampling.require_rows(pool, TEST_SIZE)
+    try:
+        sampling.require_rows(pool, found + 1)
+        raised = False
+    except sampling.NotEnoughExamples:
+        raised = True
+    return pool.agg(F.count("*").alias("n")).select(F.col("n"), F.lit(found).cast("bigint").alias("found"), F.lit(raised).alias("raised"))
+
+
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return _clean(spark, sf).select(*ID, "text", "summary")
 
@@ -160,6 +181,8 @@ def training_texts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "curation_funnel": curation_funnel,
     "corpus_pool": corpus_pool,
+    "loaded_corpus": loaded_corpus,
+    "minimum_size": minimum_size,
     "clean_text": clean_text,
     "near_dup_key": near_dup_keys,
     "quality_filter": quality_filter,
@@ -193,6 +216,7 @@ def sql_text(value: str) -> str:
 
 def _sql_clean(c: str) -> str:
     quoted = f"replace(replace(coalesce({c}, ''), chr(96) || chr(96), '\"'), chr(39) || chr(39), '\"')"
+    # Fixed value: the header pattern of the cleaning rules.
     header = r"(?is)^\s*\d+[a-z]{2}\s+CONGRESS.*?(?:Session|SESSION)\s+\S+\s+"
     headless = f"(regexp_replace(substring({quoted}, 1, 400), '{header}', '') || substring({quoted}, 401))"
     return rf"trim(regexp_replace(regexp_replace({headless}, '\[Page\s+[A-Z0-9]+\]', '', 'g'), '\s+', ' ', 'g'))"
@@ -272,6 +296,8 @@ select (select count(*) from cleaned) as loaded, count(*) as deduplicated,
   round(100.0 * count(*) filter ({VALID} and {IN_BAND}) / count(*) filter ({VALID}), 1) as kept_pct
 from firsts""",
     "corpus_pool": f"select src_rank, doc_id, text, summary from ({duck(BILLS)}) b",
+    "loaded_corpus": f"select src_rank, doc_id, text, summary from ({duck(BILLS)}) b",
+    "minimum_size": f"with {POOL} select count(*) as n, count(*) as found, true as raised from pool",
     "clean_text": f"with {CLEANED} select src_rank, doc_id, text, summary from cleaned",
     "near_dup_key": f"with {CLEANED} select src_rank, doc_id, {NEAR_KEY} as near_key from cleaned",
     "quality_filter": f"with {CLEANED} select src_rank, doc_id, text, summary from cleaned where {VALID}",

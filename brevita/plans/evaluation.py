@@ -11,6 +11,7 @@ from brevita.plans.corpus import sql_text
 from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
+from brevita.sources.tables import load_predictions
 
 DIGITS = 9
 
@@ -108,7 +109,28 @@ def judge_results_file(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction pairs stored with more columns than needed, and read by path."""
+    path = fresh_dir(spark, "predictions")
+    reply_pairs(spark, sf).withColumn("more", F.lit(1)).write.parquet(path)
+    return load_predictions(spark, path)
+
+
+def judge_results_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Judged examples stored as JSON arrays, a file of some hundred each, and read back."""
+    path = fresh_dir(spark, "judged-arrays")
+    rows = judged_examples(spark, sf)
+    some = F.col("id") - F.col("id") % 256
+    arrays = rows.groupBy(some.alias("part")).agg(F.to_json(F.collect_list(F.struct(*rows.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    # One file for each part of 256 ids.
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    kept = store.read_json_array(spark, path, store.JUDGE_RESULT_SCHEMA)
+    return kept.select("id", "reference_summary", "error", *judge.CRITERIA)
+
+
 QUERIES = {
+    "stored_predictions": stored_predictions,
+    "judge_results_array": judge_results_array,
     "rouge_n": rouge_n,
     "rouge_l": rouge_l,
     "rouge_l_documents": rouge_l_documents,
@@ -240,6 +262,9 @@ judged as (select pairs.id, reference_summary, generated_summary, case when not
   from pairs left join parsed on parsed.id = pairs.id)"""
 
 ORACLE = {
+    "stored_predictions": f"select id, model, reference_summary, generated_summary from ({duck(REPLY_PAIRS)}) p",
+    "judge_results_array": f"""with {JUDGED} select id, reference_summary, error,
+  {", ".join(f"cast({c} as int) as {c}" for c in judge.CRITERIA)} from judged""",
     "rouge_n": f"""with {_ngrams(DOCUMENT_PAIRS)}
 select id, model, ref_1, gen_1, hits_1, ref_2, gen_2, hits_2, {", ".join(
         f"round({_ratio(f'hits_{n}', f'gen_{n}')}, {DIGITS}) as rouge{n}_p, "

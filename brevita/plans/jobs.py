@@ -65,15 +65,19 @@ class CurationJob:
         return kept
 
 
-def evaluate(pairs: DataFrame, replies: DataFrame, stem: bool = True, drop_errors: bool = False) -> DataFrame:
-    """Scorecard of every model from its prediction pairs and its judge's replies.
+def evaluate(
+    pairs: DataFrame, replies: DataFrame, stem: bool = True, drop_errors: bool = False, family: Column | None = None
+) -> DataFrame:
+    """Scorecard of every model from its prediction pairs and its judge's replies, ready for ``promote``.
 
-    ROUGE enters as the middle of its bootstrap interval.
+    ROUGE enters as the middle of its bootstrap interval. ``family`` says which champion a model competes with, by default that of
+    its own name.
     """
     intervals = rouge.rouge_bootstrap(rouge.rouge_scores(pairs, stem=stem))
     middles = intervals.select("model", *[F.col(f"{m}_mid").alias(m) for m in rouge.METRICS])
     judged = judge.judge_summary(judge.typed_scores(judge.parse_replies(replies)), drop_errors, strict=True)
-    return gate.build_scorecards(middles, judged)
+    cards = gate.build_scorecards(middles, judged)
+    return cards.withColumn("family", F.col("model") if family is None else family)
 
 
 def promote(
@@ -85,12 +89,13 @@ def promote(
     update: bool = False,
     decided_at: Column | None = None,
 ) -> DataFrame:
-    """Decide one challenger (family, seq, combined_score) per family against the stored champions.
+    """Decide one challenger (family, combined_score and any other columns) per family against the stored champions.
 
-    A dry run unless ``update`` is set. With it, the decisions are logged and then a new copy of the champion table
-    is written; a job that dies in between leaves the old champions in force and repeats under the same number.
+    Champions and decisions carry the whole scorecard. A dry run unless ``update`` is set. With it, the decisions are logged and then
+    a new copy of the champion table is written; a job that dies in between leaves the old champions in force and repeats under the
+    same number.
     """
-    held = store.read_version(spark, champion_path)
+    held = store.read_version(spark, champion_path, challengers.schema)
     decided = gate.promotion_decision(held, challengers, threshold, decided_at=decided_at)
     if not update:
         return decided
@@ -102,27 +107,29 @@ def promote(
     return logged
 
 
-def serve(requests: DataFrame, factory: Factory, model_repo: str, model_filename: str, log_path: str) -> DataFrame:
+def serve(
+    requests: DataFrame, factory: Factory, model_repo: str, model_filename: str, log_path: str, run: str | None = None
+) -> DataFrame:
     """Answer the valid requests and append their log rows; answers with status and latency.
 
-    The answers are written once before both uses, so that the generator runs once per request.
+    The answers are written once before both uses, so that the generator runs once per request. A job that is repeated under the
+    same ``run`` replaces its log rows.
     """
     accepted = records.validate_requests(requests).filter("valid")
     answers = pin(batch_generate(records.with_prompt(accepted), factory))
-    served = answers.join(requests.select("request_no", "text"), "request_no")
     rows = records.log_rows(
-        served, model_repo, model_filename, status=F.col("status"), error_message=F.col("error_message")
+        answers, model_repo, model_filename, status=F.col("status"), error_message=F.col("error_message")
     )
-    store.append_logs(rows, log_path)
+    store.append_logs(rows, log_path, run)
     return answers
 
 
 def dashboard(log: DataFrame, limit: int | None = logs.RECENT_ROWS) -> dict[str, DataFrame]:
     """The four views of the dashboard over the newest ``limit`` rows; ``None`` takes the whole log."""
-    recent = logs.recent_requests(log, limit)
+    recent = pin(logs.recent_requests(log, limit)) if limit is not None else log
     return {
         "kpis": logs.latency_kpis(recent),
         "requests_by_hour": logs.requests_by_hour(recent),
         "latency_trend": logs.latency_trend(recent, limit),
-        "recent_requests": recent,
+        "recent_requests": logs.recent_requests(recent, limit),
     }

@@ -13,6 +13,7 @@ from brevita.operators.generate import batch_generate as run_generator
 from brevita.plans.corpus import sql_text
 from brevita.plans.views import EVENTS, INFERENCE_LOGS, REQUESTS, derived, duck
 from brevita.session import fresh_dir
+from brevita.sources.records import append_logs
 from brevita.streaming.logs import ingest_logs, read_files, write_hourly_kpis
 
 MODEL_REPO = "models/summariser"
@@ -73,6 +74,16 @@ def recent_requests(spark: SparkSession, sf: str) -> DataFrame:
     return _hour_text(logs.recent_requests(inference_logs(spark, sf)), "timestamp_utc")
 
 
+def recent_from_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a log in folders by run and day; a run that is repeated leaves one copy of its rows."""
+    path = fresh_dir(spark, "request-log")
+    rows = inference_logs(spark, sf)
+    even = F.col("request_id").cast("bigint") % 2 == 0
+    for run, part in (("even", rows.filter(even)), ("odd", rows.filter(~even)), ("even", rows.filter(even))):
+        append_logs(part, path, run)
+    return _hour_text(logs.recent_requests(spark.read.parquet(path)), "timestamp_utc")
+
+
 def latency_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _hour_text(logs.latency_trend(inference_logs(spark, sf)), "timestamp_utc")
 
@@ -139,6 +150,7 @@ QUERIES = {
     "batch_generate": batch_generate,
     "log_rows": log_rows,
     "recent_requests": recent_requests,
+    "recent_from_log": recent_from_log,
     "latency_trend": latency_trend,
     "latency_kpis": latency_kpis,
     "latency_kpis_recent": latency_kpis_recent,
@@ -192,6 +204,7 @@ select request_no, summary, cast(length(text) as int) as input_length, cast(leng
   '{MODEL_REPO}' as model_repo, '{MODEL_FILE}' as model_filename, cast(null as varchar) as error_message
 from ({duck(REQUESTS)}) r""",
     "recent_requests": f"with {RECENT} select {TIME.format('timestamp_utc')} as timestamp_utc, {LOG_LIST} from recent",
+    "recent_from_log": f"with {RECENT} select {TIME.format('timestamp_utc')} as timestamp_utc, {LOG_LIST} from recent",
     "latency_trend": f"""with {RECENT} select {TIME.format('timestamp_utc')} as timestamp_utc, request_id, latency_ms
 from recent""",
     "latency_kpis": f"with {LOGS} {_kpis('logs')}",

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from brevita.operators import gate
 from brevita.plans.evaluation import CORPUS_ROUGE, judge_summary, rouge_corpus, sql_judge_summary
 from brevita.plans.views import CANDIDATES, EVENTS, derived, duck
-from brevita.session import fresh_dir
+from brevita.plans.jobs import promote
+from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
 from brevita.streaming.gate import gate_stream
 from brevita.streaming.logs import read_files
 
-# Candidates per block in the registered history: small, so that several blocks meet even at small scales.
-BLOCK_SPAN = 1000
 DECIDED_AT = "2024-02-01T00:00:00+00:00"
 
 
@@ -74,7 +73,7 @@ def promotion_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.promotion_history(candidates(spark, sf), block_span=BLOCK_SPAN)
+    return gate.promotion_history(candidates(spark, sf))
 
 
 def champion_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,8 +95,39 @@ def stream_promotion(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(log_path).drop("version")
 
 
+def promotion_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Scorecards of all models through two promotions and a dry run; what the log, the dry run and the champion table hold."""
+    champions, log = fresh_dir(spark, "champions"), fresh_dir(spark, "decisions")
+    cards = pin(scorecards(spark, sf).withColumn("family", F.col("model")))
+    lower = lambda by: F.round(F.col("combined_score") - by, 6)
+    at = F.lit(DECIDED_AT)
+    promote(spark, cards.withColumn("combined_score", lower(0.05)), champions, log, update=True, decided_at=at)
+    promote(spark, cards, champions, log, update=True, decided_at=at)
+    dry = promote(spark, cards.withColumn("combined_score", lower(0.01)), champions, log, decided_at=at)
+    shown = [
+        "family",
+        "decision",
+        "reason",
+        "margin",
+        F.col("champion.combined_score").alias("champion_score"),
+        F.col("champion.raw.gemini.num_examples").alias("champion_examples"),
+        F.col("challenger.combined_score").alias("challenger_score"),
+        F.col("challenger.rouge_average").alias("challenger_rouge"),
+    ]
+    logged = spark.read.parquet(log).select(F.concat(F.lit("log "), "version").alias("step"), *shown)
+    held = store.read_version(spark, champions).select(
+        F.lit("champion").alias("step"),
+        "family",
+        F.col("combined_score").alias("champion_score"),
+        F.col("raw.gemini.num_examples").alias("champion_examples"),
+        F.col("rouge_average").alias("challenger_rouge"),
+    )
+    return logged.unionByName(dry.select(F.lit("dry run").alias("step"), *shown)).unionByName(held, allowMissingColumns=True)
+
+
 QUERIES = {
     "scorecard": scorecard,
+    "promotion_chain": promotion_chain,
     "promotion_decision": promotion_decision,
     "promotion_log": promotion_log,
     "promotion_history": history,
@@ -137,13 +167,34 @@ fold as (
   from fold f join candidates c on c.family = f.family and c.nth = f.nth + 1),
 history as (select family, seq, combined_score, champion_score, {_outcome("champion_score", "combined_score")} from fold)"""
 
-ORACLE = {
-    "scorecard": f"""with recursive {CORPUS_ROUGE},
+CARDS = f"""with recursive {CORPUS_ROUGE},
 {sql_judge_summary()},
-parts as (select model, rouge1, overall_average, (rouge1 + rouge2 + "rougeL") / 3 as r, overall_average / 5.0 as j
-  from rouge_corpus join judge_summary using (model))
-select model, round_even(r, 6) as rouge_average, round_even(j, 6) as gemini_average,
-  round_even(0.5 * r + 0.5 * j, 6) as combined_score, rouge1, overall_average from parts""",
+parts as (select model, rouge1, overall_average, j.num_examples, (rouge1 + rouge2 + "rougeL") / 3 as r, overall_average / 5.0 as j
+  from rouge_corpus join judge_summary j using (model)),
+cards as (select *, round_even(r, 6) as rouge_average, round_even(j, 6) as gemini_average,
+  round_even(0.5 * r + 0.5 * j, 6) as combined_score from parts),
+rounded as (select model, num_examples, rouge_average as r6, combined_score as c from cards)"""
+
+
+def _chain(champion: str, challenger: str) -> str:
+    return f"""case when {champion} is null or {challenger} > {champion} + cast({THRESHOLD} as double) then 'PROMOTED'
+    else 'REJECTED' end as decision,
+  case when {champion} is null then '{gate.NO_CHAMPION}' else '{gate.COMPARED}' end as reason,
+  round_even({challenger} - {champion}, 6) as margin"""
+
+
+ORACLE = {
+    "scorecard": f"""{CARDS}
+select model, rouge_average, gemini_average, combined_score, rouge1, overall_average from cards""",
+    "promotion_chain": f"""{CARDS},
+steps as (select 'log 0' as step, model as family, num_examples, r6, null as champion, round(c - 0.05, 6) as challenger from rounded
+  union all select 'log 1', model, num_examples, r6, round(c - 0.05, 6), c from rounded
+  union all select 'dry run', model, num_examples, r6, c, round(c - 0.01, 6) from rounded)
+select step, family, {_chain("champion", "challenger")}, champion as champion_score,
+  case when champion is not null then num_examples end as champion_examples, challenger as challenger_score,
+  r6 as challenger_rouge from steps
+union all
+select 'champion', model, null, null, null, c, num_examples, null, r6 from rounded""",
     "promotion_decision": DECISION,
     "promotion_log": DECISION,
     "promotion_history": f"{HISTORY} select * from history",

@@ -34,6 +34,7 @@ select doc_id, cast(doc_id % 3 = 2 as int) as src_rank,
 from {documents}
 """
 
+# Replies about every document: the reasoning holds its whole text, escaped as JSON wants it, and the scores are counted from it.
 JUDGE_RAW = """
 select doc_id as id, concat('m', cast(doc_id % 3 as {string})) as model,
   case doc_id % 10
@@ -41,16 +42,18 @@ select doc_id as id, concat('m', cast(doc_id % 3 as {string})) as model,
     when 1 then concat('```', chr(10), j, chr(10), '```')
     when 2 then concat('```json', chr(10), j, '```')
     when 3 then concat('  ', j, chr(10))
-    when 4 then 'I cannot rate this.'
-    when 5 then substring(j, 1, 20)
-    when 6 then '{{"relevance": "3", "factual": 4.7, "fluency": true}}'
+    when 4 then concat('I cannot rate this: ', text)
+    when 5 then substring(j, 1, cast(length(j) - 2 as int))
+    when 6 then concat('{{"relevance": "', cast(1 + length(text) % 5 as {string}), '", "factual": 4.7, "fluency": true, "relevance_reasoning": "', escaped, '"}}')
     when 7 then '{{"relevance": 4, "factual": null, "fluency": 2}}'
-    when 8 then '{{"relevance": 5, "factual": 4}}'
+    when 8 then concat('{{"relevance": 5, "factual": ', cast(1 + length(escaped) % 5 as {string}), '}}')
     else j end as raw_text
-from (select doc_id, concat('{{"relevance": ', cast(1 + doc_id % 5 as {string}),
-        ', "factual": ', cast(1 + (doc_id * 3) % 5 as {string}),
-        ', "fluency": ', cast(1 + (doc_id * 7) % 5 as {string}), ', "relevance_reasoning": "r"}}') as j
-      from {documents}) d
+from (select doc_id, text, escaped, concat('{{"relevance": ', cast(1 + length(text) % 5 as {string}),
+        ', "factual": ', cast(1 + length(replace(text, 'e', '')) % 5 as {string}),
+        ', "fluency": ', cast(1 + length(replace(text, ' ', '')) % 5 as {string}),
+        ', "relevance_reasoning": "', escaped, '"}}') as j
+      from (select doc_id, text, replace(replace(replace(text, chr(92), concat(chr(92), chr(92))), chr(34), concat(chr(92), chr(34))),
+              chr(10), concat(chr(92), 'n')) as escaped from {documents}) e) d
 """
 
 INFERENCE_LOGS = """
@@ -66,18 +69,21 @@ CANDIDATES = """
 select event_type as family, event_id as seq, round(value / 500, 6) as combined_score from {events}
 """
 
-# Each assistant turn is scored against the turn before it: whole texts, one pair per reply.
+# Each assistant turn is scored against the turn before it: whole texts, one pair per reply. Ids are unique for turns below 2^20.
 REPLY_PAIRS = """
-select a.conv_id * 1000 + a.turn as id, concat('m', cast(a.conv_id % 3 as {string})) as model,
+select a.conv_id * 1048576 + a.turn as id, concat('m', cast(a.conv_id % 3 as {string})) as model,
   q.text as reference_summary, a.text as generated_summary
 from {conversations} a join {conversations} q on q.conv_id = a.conv_id and q.turn = a.turn - 1
 where a.role = 'assistant'
 """
 
-# Whole documents against themselves without their words of seven or more characters.
+# Whole documents against themselves with their halves exchanged, their beginning repeated, and words of seven or more characters
+# left out: neither side holds all of the other.
 DOCUMENT_PAIRS = """
 select doc_id as id, concat('m', cast(doc_id % 3 as {string})) as model, text as reference_summary,
-  case when doc_id % 13 = 0 then '' else regexp_replace(text, '[^ ]{{7,}}', ''{flags}) end as generated_summary
+  case when doc_id % 13 = 0 then '' else regexp_replace(
+    concat(substring(text, 1 + cast(floor(length(text) / 2) as int)), ' ', substring(text, 1, cast(floor(length(text) / 2) as int)),
+      ' ', substring(text, 1, 200)), '[^ ]{{7,}}', ''{flags}) end as generated_summary
 from {documents}
 """
 

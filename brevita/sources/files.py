@@ -20,11 +20,23 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path) and system.getFileStatus(hadoop_path).isDirectory()
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished ``version=N`` folders below ``path``, ascending."""
+def version_folders(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``version=N`` folders below ``path``, newest first, finished or not. One listing."""
     if not exists(spark, path):
         return []
     system, hadoop_path = _resolve(spark, path)
     names = [status.getPath().getName() for status in system.listStatus(hadoop_path)]
-    numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-    return [n for n in numbers if exists(spark, f"{path}/version={n}/_SUCCESS")]
+    return sorted((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), reverse=True)
+
+
+def newest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The newest finished version (below ``before``): looks at folders from the newest on and stops at the first."""
+    for n in version_folders(spark, path):
+        if (before is None or n < before) and exists(spark, f"{path}/version={n}/_SUCCESS"):
+            return n
+    return None
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of all finished versions below ``path``, ascending."""
+    return [n for n in version_folders(spark, path)[::-1] if exists(spark, f"{path}/version={n}/_SUCCESS")]

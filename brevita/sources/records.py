@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brevita.sources.files import exists, versions
+from brevita.session import delete
+from brevita.sources.files import exists, newest_version, version_folders
 
 RECORD_SCHEMA = "instruction string, input string, output string"
 SPLITS = ("train", "val", "test")
@@ -22,6 +24,9 @@ JUDGE_RESULT_SCHEMA = (
 )
 CHAMPION_SCHEMA = "family string, seq bigint, combined_score double"
 
+# Copies of a versioned table that a stream leaves: the one in force, and those that a repeated batch may start from.
+KEPT_VERSIONS = 10
+
 log = logging.getLogger(__name__)
 
 
@@ -78,21 +83,35 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
 
 
 def read_version(
-    spark: SparkSession, path: str, schema: str = CHAMPION_SCHEMA, before: int | None = None
+    spark: SparkSession, path: str, empty: str = CHAMPION_SCHEMA, before: int | None = None
 ) -> DataFrame:
-    """Newest finished copy (below ``before``), or an empty table."""
-    known = [v for v in versions(spark, path) if before is None or v < before]
-    if not known:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={known[-1]}")
+    """Newest finished copy (below ``before``) with all its columns, or an empty table of the schema ``empty``."""
+    newest = newest_version(spark, path, before)
+    if newest is None:
+        return spark.createDataFrame([], empty)
+    return spark.read.parquet(f"{path}/version={newest}")
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> None:
+    """Delete all but the newest ``keep`` finished copies, and what lies before them unfinished."""
+    numbers = version_folders(spark, path)
+    finished = [n for n in numbers[: keep + 1] if exists(spark, f"{path}/version={n}/_SUCCESS")]
+    if len(finished) >= keep:
+        for n in numbers:
+            if n < finished[keep - 1]:
+                delete(spark, f"{path}/version={n}")
+
 
+def append_logs(rows: DataFrame, path: str, run: str | None = None) -> bool:
+    """Append log rows by run and day. Best effort: a failure is logged and reported, never raised.
 
-def append_logs(rows: DataFrame, path: str) -> bool:
-    """Append log rows by day. Best effort: a failure is logged and reported, never raised."""
+    A run that is repeated under its own name replaces what it has written; without a name each call is a run of its own.
+    """
     try:
         by_day = rows.withColumn("log_date", F.to_date("timestamp_utc"))
-        by_day.write.mode("append").partitionBy("log_date").parquet(path)
+        folder = f"{path}/run={run or uuid.uuid4().hex}"
+        by_day.write.mode("overwrite").partitionBy("log_date").parquet(folder)
         return True
     except Exception as failure:  # noqa: BLE001 - logging must not stop serving
-        log.warning("failed to write inference log rows: %s", failure)
+        log.warning("log rows were not appended: %s", failure)
         return False

@@ -112,7 +112,7 @@ def test_serving_logs_lengths_and_never_texts(spark, shouting):
     path = fresh_dir(spark, "served")
     assert serve(df, shouting, "repo", "file", path).count() == 2
     stored = spark.read.parquet(path)
-    assert set(stored.columns) == {*records.LOG_COLUMNS, "log_date"}
+    assert set(stored.columns) == {*records.LOG_COLUMNS, "log_date", "run"}
     rows = {r.status: r for r in stored.collect()}
     assert (rows["success"].input_length, rows["success"].output_length, rows["success"].model_version) == (9, 9, "repo/file")
     assert rows["error"].error_message == "Inference failed: boom"
