@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brevita.functions.keys import document_id, pool_position, split_rank
 from brevita.functions.text import key_digest, near_dup_key, with_cleaned
+from brevita.session import pin
 
 
 @dataclass(frozen=True)
@@ -112,8 +113,14 @@ def select_rows(pool: DataFrame, chosen: DataFrame, band: LengthBand | None = No
 
 
 def near_dedup(pool: DataFrame) -> DataFrame:
-    """Cleaned rows that are the first of their near-duplicate group."""
-    return select_rows(pool, keep_first(fingerprints(pool)).select("pool_pos"))
+    """Cleaned rows that are the first of their near-duplicate group.
+
+    The rows that go are found on the narrow table. They are the few: where Spark can broadcast them, the texts stay in place.
+    """
+    prints = pin(fingerprints(pool).select("pool_pos", "near_digest"))
+    firsts = prints.groupBy("near_digest").agg(F.min("pool_pos").alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    gone = prints.join(firsts, "near_digest").filter("pool_pos > first").select("pool_pos")
+    return with_cleaned(pool.join(pin(gone), "pool_pos", "left_anti"))
 
 
 def curated_positions(pool: DataFrame, band: LengthBand = LengthBand()) -> DataFrame:

@@ -85,6 +85,8 @@ def promotion_decision(
     ``champions`` has at most one row per family. Both sides keep all their columns, nested under
     ``champion`` (null if there is none) and ``challenger``.
     """
+    # Written first: one row per family, and Catalyst then sends it to the challengers instead of dealing those by family.
+    champions = pin(champions)
     held = champions.select(F.col(on), F.struct(*[c for c in champions.columns if c != on]).alias("champion"))
     entered = challengers.select(F.col(on), F.struct(*[c for c in challengers.columns if c != on]).alias("challenger"))
     met = entered.join(held, on, "left")
@@ -142,12 +144,14 @@ def _promotions(records: DataFrame, entry: DataFrame | None, threshold: float) -
         bar = F.col("entry").isNull() | (F.col("combined_score") > F.col("entry") + F.lit(threshold))
         open_ = records.join(entry, "family", "left").filter(bar)
     reached = pin(open_.groupBy("family").agg(F.min("seq").alias("seq")))
-    leaps = pin(_successors(records, threshold))
+    leaps, known = pin(_successors(records, threshold)), reached.count()
     while True:
-        further = pin(reached.join(leaps, ["family", "seq"]).select("family", F.col("next_seq").alias("seq")))
-        if further.isEmpty():
-            break
+        further = reached.join(leaps, ["family", "seq"]).select("family", F.col("next_seq").alias("seq"))
         reached = pin(reached.unionByName(further))
+        found = reached.count()
+        if found == known:
+            break
+        known = found
         onward = leaps.select("family", F.col("seq").alias("next_seq"), F.col("next_seq").alias("far_seq"))
         leaps = pin(leaps.join(onward, ["family", "next_seq"]).select("family", "seq", F.col("far_seq").alias("next_seq")))
     return records.join(reached, ["family", "seq"]).select("family", "seq", F.col("combined_score").alias("promoted"))

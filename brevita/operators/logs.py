@@ -12,7 +12,6 @@ from brevita.operators.records import LOG_COLUMNS
 # Rows shown by the dashboard and its latency percentiles.
 RECENT_ROWS = 1000
 PERCENTILES = {"p50_latency_ms": 0.50, "p95_latency_ms": 0.95}
-DIGITS = 6
 
 
 def _newest_days(logs: DataFrame, limit: int) -> DataFrame:
@@ -69,7 +68,7 @@ def latency_kpis(logs: DataFrame, by: str | None = None) -> DataFrame:
         "success_pct": F.col("successes") / F.col("requests") * 100,
     }
     return found.select(
-        *([by] if by else []), "requests", *[F.round(column, DIGITS).alias(name) for name, column in kpis.items()]
+        *([by] if by else []), "requests", *[column.alias(name) for name, column in kpis.items()]
     )
 
 

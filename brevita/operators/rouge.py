@@ -6,7 +6,10 @@ All scores of a pair come from its own row, so scoring is map-only whatever the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,6 @@ from brevita.functions.stemming import stem_tokens
 from brevita.functions.tokens import normalised, token_count
 
 METRICS = ("rouge1", "rouge2", "rougeL")
-DIGITS = 6
 
 # Bootstrap replicates and interval, and the Mersenne prime 2^31-1.
 REPLICATES = 1000
@@ -89,26 +91,40 @@ def rouge_scores(pairs: DataFrame, stem: bool = False) -> DataFrame:
 
 def rouge_corpus(scores: DataFrame) -> DataFrame:
     """Plain mean F1 per model."""
-    means = [F.round(F.avg(m), DIGITS).alias(m) for m in METRICS]
+    means = [F.avg(m).alias(m) for m in METRICS]
     return scores.groupBy("model").agg(F.count("*").alias("num_examples"), *means)
 
 
-def poisson_weight(uniform: Column) -> Column:
-    """Poisson(1) weight of a number that is uniform on [0, PRIME)."""
-    weight = F.lit(0)
-    for step in POISSON_STEPS:
-        weight = weight + (uniform >= step).cast("int")
-    return weight
+def _replicate_sums(replicates: int):
+    """Arrow pass over (model, a, b, scores): weighted sums of every replicate, a row for each model and replicate of a task."""
+    steps = np.array(POISSON_STEPS)
+    numbers = np.arange(1, replicates + 1, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            models, place = np.unique(np.array(batch.column("model").to_pylist(), dtype=object).astype(str), return_inverse=True)
+            a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+            values = np.column_stack([np.ones(len(a)), *[batch.column(m).to_numpy(zero_copy_only=False) for m in METRICS]])
+            weights = np.searchsorted(steps, (a[:, None] * numbers[None, :] + b[:, None]) % PRIME, side="right").astype(np.float64)
+            for k, model in enumerate(models):
+                mine = place == k
+                sums[model] = sums.get(model, 0) + weights[mine].T @ values[mine]
+        for model, total in sums.items():
+            columns = [pa.array([model] * replicates), pa.array(numbers), *[pa.array(total[:, j]) for j in range(len(METRICS) + 1)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["model", "replicate", "w", *METRICS])
+
+    return run
 
 
 def rouge_bootstrap(scores: DataFrame, replicates: int = REPLICATES, seed: int | str = 42) -> DataFrame:
-    """Bootstrap interval of each mean F1 per model: 2.5, 50 and 97.5 percentiles.
+    """Bootstrap interval of each mean F1 per model: 2.5, 50 and 97.5 percentiles. Models must not be null.
 
     Poisson weights stand in for drawing n of n rows with replacement: replicate r gives each row a
     Poisson(1) weight, independent of the other rows, which needs neither n nor a driver-side draw. The
     weights of one row come from one md5: its first two 32-bit words a and b give (a*(r+1)+b) mod (2^31-1), uniform
-    and pairwise independent over replicates. Weighted sums are combined on the map side, so every task sends at
-    most ``replicates`` rows per model, and the final percentile sees ``replicates`` values.
+    and pairwise independent over replicates. A task multiplies the weights with the scores of its rows and sends
+    ``replicates`` rows per model; the final percentile sees ``replicates`` values.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
     halves = scores.select(
@@ -117,16 +133,16 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = REPLICATES, seed: int |
         (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % PRIME).alias("a"),
         (F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint") % PRIME).alias("b"),
     )
-    drawn = halves.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    weighted = drawn.withColumn("w", poisson_weight((F.col("a") * F.col("replicate") + F.col("b")) % PRIME))
-    sums = weighted.filter(F.col("w") > 0).groupBy("model", "replicate").agg(
-        F.sum("w").alias("w"), *[F.sum(F.col("w") * F.col(m)).alias(m) for m in METRICS]
+    shape = "model string, replicate bigint, w double, " + ", ".join(f"{m} double" for m in METRICS)
+    sums = (
+        halves.mapInArrow(_replicate_sums(replicates), shape)
+        .groupBy("model", "replicate")
+        .agg(*[F.sum(c).alias(c) for c in ("w", *METRICS)])
+        .filter("w > 0")
     )
     bounds = F.array(*[F.lit(q) for q in INTERVAL])
     spreads = sums.groupBy("model").agg(
         *[F.percentile(F.col(m) / F.col("w"), bounds).alias(m) for m in METRICS]
     )
-    named = []
-    for m in METRICS:
-        named += [F.round(F.col(m)[k], DIGITS).alias(f"{m}_{part}") for k, part in enumerate(("low", "mid", "high"))]
-    return spreads.select("model", *named)
+    parts = [F.col(m)[k].alias(f"{m}_{part}") for m in METRICS for k, part in enumerate(("low", "mid", "high"))]
+    return spreads.select("model", *parts)

@@ -268,6 +268,6 @@ def split_stats(labelled: DataFrame) -> DataFrame:
     """Size and mean lengths of each split, from the narrow table."""
     return labelled.groupBy("split").agg(
         F.count("*").alias("n"),
-        F.round(F.avg("text_len"), 4).alias("avg_text_len"),
-        F.round(F.avg("summary_len"), 4).alias("avg_summary_len"),
+        F.avg("text_len").alias("avg_text_len"),
+        F.avg("summary_len").alias("avg_summary_len"),
     )

@@ -134,7 +134,8 @@ def split_allocation_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.split_stats(split_rows(spark, sf))
+    stats = sampling.split_stats(split_rows(spark, sf))
+    return stats.withColumns({c: F.round(c, 4) for c in ("avg_text_len", "avg_summary_len")})
 
 
 def instruction_records(spark: SparkSession, sf: str) -> DataFrame:

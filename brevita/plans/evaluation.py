@@ -13,7 +13,9 @@ from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
 from brevita.sources.tables import load_predictions
 
+# Digits at which figures of Spark and DuckDB are compared; the operators do not round.
 DIGITS = 9
+CORPUS_DIGITS = 6
 
 
 def reply_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,9 +26,9 @@ def document_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, DOCUMENT_PAIRS)
 
 
-def _rounded(scores: DataFrame) -> DataFrame:
+def _rounded(scores: DataFrame, digits: int = DIGITS) -> DataFrame:
     exact = [c for c, kind in scores.dtypes if kind == "double"]
-    return scores.withColumns({c: F.round(c, DIGITS) for c in exact})
+    return scores.withColumns({c: F.round(c, digits) for c in exact})
 
 
 def rouge_n(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,12 +49,16 @@ def rouge_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rouge.rouge_scores(reply_pairs(spark, sf), stem=True))
 
 
-def rouge_corpus(spark: SparkSession, sf: str) -> DataFrame:
+def corpus_means(spark: SparkSession, sf: str) -> DataFrame:
     return rouge.rouge_corpus(rouge.rouge_scores(reply_pairs(spark, sf)))
 
 
+def rouge_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(corpus_means(spark, sf), CORPUS_DIGITS)
+
+
 def rouge_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    return rouge.rouge_bootstrap(rouge.rouge_scores(reply_pairs(spark, sf)))
+    return _rounded(rouge.rouge_bootstrap(rouge.rouge_scores(reply_pairs(spark, sf))), CORPUS_DIGITS)
 
 
 def judge_raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,8 +257,8 @@ judge_summary as (select model, mean_relevance, mean_factual, mean_fluency,
 
 
 CORPUS_ROUGE = f"""{SCORES},
-rouge_corpus as (select model, count(*) as num_examples, round(avg(rouge1), 6) as rouge1, round(avg(rouge2), 6) as rouge2,
-  round(avg("rougeL"), 6) as "rougeL" from scores group by model)"""
+rouge_corpus as (select model, count(*) as num_examples, avg(rouge1) as rouge1, avg(rouge2) as rouge2, avg("rougeL") as "rougeL"
+  from scores group by model)"""
 
 JUDGED = f"""{REPLIES},
 pairs as ({duck(DOCUMENT_PAIRS)}),
@@ -276,7 +282,8 @@ select t.id, t.model, cast(len(t.r) as bigint) as ref_1, cast(len(t.g) as bigint
   round({_ratio("lcs", "len(t.g)")}, {DIGITS}) as "rougeL_p", round({_ratio("lcs", "len(t.r)")}, {DIGITS}) as "rougeL_r",
   round({_f1("lcs", "len(t.g)", "len(t.r)")}, {DIGITS}) as "rougeL_f"
 from toks t join lcs_len on lcs_len.id = t.id""",
-    "rouge_corpus": f"with recursive {CORPUS_ROUGE} select * from rouge_corpus",
+    "rouge_corpus": f"""with recursive {CORPUS_ROUGE} select model, num_examples,
+  {", ".join(f'round("{m}", {CORPUS_DIGITS}) as "{m}"' for m in rouge.METRICS)} from rouge_corpus""",
     "rouge_bootstrap": f"""with recursive {SCORES},
 halves as (select *, {_word(1)} as a, {_word(9)} as b from scores),
 drawn as (select *, (a * rep + b) % {rouge.PRIME} as u from halves, range(1, {rouge.REPLICATES} + 1) reps(rep)),

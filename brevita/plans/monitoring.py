@@ -88,17 +88,22 @@ def latency_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _hour_text(logs.latency_trend(inference_logs(spark, sf)), "timestamp_utc")
 
 
+def _rounded(kpis: DataFrame) -> DataFrame:
+    """Figures as they are compared with SQL; the operators do not round."""
+    return kpis.withColumns({c: F.round(c, 6) for c, kind in kpis.dtypes if kind == "double"})
+
+
 def latency_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.latency_kpis(inference_logs(spark, sf))
+    return _rounded(logs.latency_kpis(inference_logs(spark, sf)))
 
 
 def latency_kpis_recent(spark: SparkSession, sf: str) -> DataFrame:
     """The dashboard's own figures, over its newest 1,000 rows."""
-    return logs.latency_kpis(logs.recent_requests(inference_logs(spark, sf)))
+    return _rounded(logs.latency_kpis(logs.recent_requests(inference_logs(spark, sf))))
 
 
 def latency_kpis_by_model(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.latency_kpis(inference_logs(spark, sf), by="model_version")
+    return _rounded(logs.latency_kpis(inference_logs(spark, sf), by="model_version"))
 
 
 def requests_by_hour(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +146,7 @@ def stream_hourly_kpis(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_dir(spark, "kpis")
     stream = write_hourly_kpis(_log_stream(spark, sf), path, fresh_dir(spark, "kpi-checkpoint"), refresh=None)
     stream.awaitTermination()
-    return _hour_text(spark.read.parquet(path))
+    return _hour_text(_rounded(spark.read.parquet(path)))
 
 
 QUERIES = {

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.operators import gate
-from brevita.plans.evaluation import CORPUS_ROUGE, judge_summary, rouge_corpus, sql_judge_summary
+from brevita.plans.evaluation import CORPUS_DIGITS, CORPUS_ROUGE, corpus_means, judge_summary, sql_judge_summary
 from brevita.plans.views import CANDIDATES, EVENTS, derived, duck
 from brevita.plans.jobs import promote
 from brevita.session import fresh_dir, pin
@@ -18,7 +18,7 @@ DECIDED_AT = "2024-02-01T00:00:00+00:00"
 
 
 def scorecards(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.build_scorecards(rouge_corpus(spark, sf).drop("num_examples"), judge_summary(spark, sf))
+    return gate.build_scorecards(corpus_means(spark, sf).drop("num_examples"), judge_summary(spark, sf))
 
 
 def scorecard(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +27,7 @@ def scorecard(spark: SparkSession, sf: str) -> DataFrame:
         "rouge_average",
         "gemini_average",
         "combined_score",
-        F.col("raw.rouge.rouge1").alias("rouge1"),
+        F.round("raw.rouge.rouge1", CORPUS_DIGITS).alias("rouge1"),
         F.col("raw.gemini.overall_average").alias("overall_average"),
     )
 
@@ -185,7 +185,7 @@ def _chain(champion: str, challenger: str) -> str:
 
 ORACLE = {
     "scorecard": f"""{CARDS}
-select model, rouge_average, gemini_average, combined_score, rouge1, overall_average from cards""",
+select model, rouge_average, gemini_average, combined_score, round(rouge1, {CORPUS_DIGITS}) as rouge1, overall_average from cards""",
     "promotion_chain": f"""{CARDS},
 steps as (select 'log 0' as step, model as family, num_examples, r6, null as champion, round(c - 0.05, 6) as challenger from rounded
   union all select 'log 1', model, num_examples, r6, round(c - 0.05, 6), c from rounded

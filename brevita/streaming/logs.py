@@ -61,10 +61,10 @@ def hourly_kpis(logs: DataFrame, watermark: str = WATERMARK, window: str = WINDO
         .groupBy(F.window("timestamp_utc", window).alias("w"), "model_version")
         .agg(
             F.count("*").alias("requests"),
-            F.round(F.avg(latency), 6).alias("avg_latency_ms"),
+            F.avg(latency).alias("avg_latency_ms"),
             p50.alias("p50_latency_ms"),
             p95.alias("p95_latency_ms"),
-            F.round(F.avg(success_flag(F.col("status"))) * 100, 6).alias("success_pct"),
+            (F.avg(success_flag(F.col("status"))) * 100).alias("success_pct"),
         )
         .select(F.col("w.start").alias("hour"), "model_version", "requests", "avg_latency_ms",
                 "p50_latency_ms", "p95_latency_ms", "success_pct")

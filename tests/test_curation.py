@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,11 +63,18 @@ def test_funnel_of_the_given_tables(spark, sf, expected):
     assert (got.loaded, got.deduplicated, got.valid, got.in_band) == expected
 
 
-def test_funnel_shuffles_only_narrow_rows(spark, small):
-    plan = curation.curation_funnel(bills_pool(spark, small))._jdf.queryExecution().executedPlan().toString()
+def exchanged(df):
+    """Columns that leave each exchange of a plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    formatted = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert ("Exchange" in text) == bool(parts := re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[(.*)\]", formatted))
+    return [set(re.findall(r"(\w+)#", p)) for p in parts]
+
+
+def test_only_narrow_rows_are_shuffled(spark, small):
+    pool = bills_pool(spark, small)
+    for df in (curation.curation_funnel(pool), curation.near_dedup(pool), curation.curated_positions(pool)):
+        moved = exchanged(df)
+        assert moved and not set.union(*moved) & {"text", "summary", "near_key"}
+    plan = curation.curation_funnel(pool)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
-    for line in plan.splitlines():
-        if "Exchange hashpartitioning(near_digest" in line:
-            break
-    else:
-        pytest.fail("no exchange on the digest")

@@ -49,6 +49,33 @@ def test_quantiles_equal_numpy(spark, values):
             assert got[group][name] == pytest.approx(np.quantile(data, q), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("range_rows", [1, 50])
+def test_quantiles_of_crowded_ranges(spark, range_rows):
+    """Many values close together, two neighbouring doubles, one value most of the time: ranges are cut until they are small."""
+    rng = np.random.default_rng(5)
+    near = [100 + 0.02 * v for v in rng.random(2000)]
+    steps = [1.0, float(np.nextafter(1.0, 2.0))] * 300
+    most = [7.0] * 900 + [7.0 + i * 1e-9 for i in range(300)]
+    rows = [(g, float(v)) for g, values in (("near", near), ("steps", steps), ("most", most)) for v in values]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    probs = {"q1": 0.05, "q2": 0.5, "q3": 0.95}
+    got = {r.g: r for r in exact_quantiles(df, "x", probs, "g", range_rows=range_rows).collect()}
+    for g, values in (("near", near), ("steps", steps), ("most", most)):
+        for name, q in probs.items():
+            assert got[g][name] == pytest.approx(np.quantile(values, q), rel=1e-15)
+
+
+def test_a_million_values_in_one_bucket_leave_small_ranges(spark):
+    df = spark.range(1_000_000).selectExpr("100 + id * 2e-8 as x")
+    got = exact_quantiles(df, "x", {"p50": 0.5, "p95": 0.95})
+    assert got.first().p50 == pytest.approx(100 + 499_999.5 * 2e-8, rel=1e-14)
+    plan = got._jdf.queryExecution().toString()
+    ranges = [line for line in plan.splitlines() if "near_n" in line]
+    assert ranges
+    rows = spark.read.parquet(*{p for p in got.inputFiles()}).select("near_n").collect()
+    assert rows and max(r.near_n for r in rows) <= 100_000
+
+
 def test_kpis_skip_null_latency_but_not_null_status(spark):
     rows = [(0, "a", 10.0, "success", "v1"), (1, "b", 20.0, None, "v1"), (2, "c", None, "error", "v2"), (3, "d", 40.0, "success", None)]
     overall = logs.latency_kpis(log(spark, rows)).first()

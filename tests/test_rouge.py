@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -134,7 +135,26 @@ def test_bootstrap_interval(spark):
         assert 0.022 < mean[m] - got[f"{m}_low"] < 0.035
 
 
-def test_poisson_weights_have_mean_and_variance_one(spark):
-    u = spark.range(200_000).select(rouge.poisson_weight((F.col("id") * 10_007 * 997) % rouge.PRIME).alias("w"))
-    mean, variance = u.agg(F.avg("w"), F.var_pop("w")).first()
-    assert abs(mean - 1) < 0.02 and abs(variance - 1) < 0.03
+def test_poisson_weights_have_mean_and_variance_one():
+    u = np.arange(200_000, dtype=np.int64) * 10_007 * 997 % rouge.PRIME
+    weights = np.searchsorted(np.array(rouge.POISSON_STEPS), u, side="right")
+    assert abs(weights.mean() - 1) < 0.02 and abs(weights.var() - 1) < 0.03
+
+
+def test_bootstrap_sums_equal_a_loop(spark):
+    rows = [(i, f"m{i % 2}", i / 50, 1 - i / 60, 0.5) for i in range(40)]
+    scores = spark.createDataFrame(rows, "id bigint, model string, rouge1 double, rouge2 double, rougeL double").repartition(3)
+    got = {r.model: r for r in rouge.rouge_bootstrap(scores, replicates=50).collect()}
+    for model in ("m0", "m1"):
+        means = []
+        for rep in range(1, 51):
+            total = weight = 0.0
+            for i, m, value, *_ in rows:
+                digest = hashlib.md5(f"42:{i}".encode()).hexdigest()
+                u = (int(digest[:8], 16) % rouge.PRIME * rep + int(digest[8:16], 16) % rouge.PRIME) % rouge.PRIME
+                w = sum(u >= step for step in rouge.POISSON_STEPS) if m == model else 0
+                total, weight = total + w * value, weight + w
+            means.append(total / weight)
+        assert got[model].rouge1_mid == pytest.approx(np.quantile(means, 0.5))
+        assert got[model].rouge1_low == pytest.approx(np.quantile(means, 0.025))
+
