@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brevita.operators import curation, gate, judge, logs, records, rouge, sampling
 from brevita.operators.generate import Factory, batch_generate
-from brevita.session import pin
+from brevita.session import pin, scratch
 from brevita.sources import records as store
 from brevita.sources.files import versions
 from brevita.streaming.gate import merge_champions
@@ -59,7 +59,8 @@ class CurationJob:
         def build() -> DataFrame:
             return self.records(pool, pin(self.assign(pool)))
 
-        kept, _ = store.ensure_splits(spark, path, build, force)
+        with scratch(spark):  # the records are written before the narrow tables behind them go
+            kept, _ = store.ensure_splits(spark, path, build, force)
         if published:
             store.publish_splits(kept, published)
         return kept

@@ -146,7 +146,8 @@ def stream_hourly_kpis(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_dir(spark, "kpis")
     stream = write_hourly_kpis(_log_stream(spark, sf), path, fresh_dir(spark, "kpi-checkpoint"), refresh=None)
     stream.awaitTermination()
-    return _hour_text(_rounded(spark.read.parquet(path)))
+    kpis = spark.read.parquet(path)
+    return _hour_text(kpis.withColumns({c: F.round(c, 6) for c in ("avg_latency_ms", "success_pct")}))
 
 
 QUERIES = {

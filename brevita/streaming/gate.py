@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from brevita.operators.gate import DEFAULT_THRESHOLD, current_champions, promotion_history
+from brevita.session import scratch
 from brevita.sources.records import prune_versions, read_version, write_version
 
 
@@ -34,11 +35,12 @@ def gate_stream(
 
     def decide(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = read_version(spark, champion_path, before=batch_id)
-        write_version(promotion_history(batch, threshold, held), log_path, batch_id)
-        decided = spark.read.parquet(f"{log_path}/version={batch_id}")
-        write_version(merge_champions(held, current_champions(decided)), champion_path, batch_id)
-        prune_versions(spark, champion_path)
+        with scratch(spark):  # tables pinned for this batch go with it
+            held = read_version(spark, champion_path, before=batch_id)
+            write_version(promotion_history(batch, threshold, held), log_path, batch_id)
+            decided = spark.read.parquet(f"{log_path}/version={batch_id}")
+            write_version(merge_champions(held, current_champions(decided)), champion_path, batch_id)
+            prune_versions(spark, champion_path)
 
     writer = candidates.writeStream.foreachBatch(decide).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=refresh) if refresh else writer.trigger(availableNow=True)).start()
