@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brevita.functions.keys import document_id, split_rank
 from brevita.functions.templates import CHAT_ASSISTANT, CHAT_END, CHAT_SYSTEM, CHAT_USER, INSTRUCTION
 from brevita.functions.text import near_dup_key, with_cleaned
 from brevita.operators import curation, records, sampling
