@@ -133,12 +133,12 @@ def _successors(records: DataFrame, threshold: float) -> DataFrame:
 
 
 def _promotions(records: DataFrame, entry: DataFrame | None, threshold: float) -> DataFrame:
-    """The promoted ones among each family's records (family, seq, combined_score, rising), as (family, seq, promoted).
+    """The promoted ones among each family's records (family, block, seq, combined_score, rising): family, block, seq, promoted.
 
     Every record has one fixed successor, so the promotions are what is reachable from the first one. Reach and leaps double in
     each round: as many rounds as the logarithm of the longest chain of promotions.
     """
-    records = pin(records.select("family", "seq", "combined_score"))
+    records = pin(records.select("family", "block", "seq", "combined_score"))
     open_ = records
     if entry is not None:
         bar = F.col("entry").isNull() | (F.col("combined_score") > F.col("entry") + F.lit(threshold))
@@ -154,7 +154,7 @@ def _promotions(records: DataFrame, entry: DataFrame | None, threshold: float) -
         known = found
         onward = leaps.select("family", F.col("seq").alias("next_seq"), F.col("next_seq").alias("far_seq"))
         leaps = pin(leaps.join(onward, ["family", "next_seq"]).select("family", "seq", F.col("far_seq").alias("next_seq")))
-    return records.join(reached, ["family", "seq"]).select("family", "seq", F.col("combined_score").alias("promoted"))
+    return records.join(reached, ["family", "seq"]).select("family", "block", "seq", F.col("combined_score").alias("promoted"))
 
 
 def promotion_history(
@@ -195,8 +195,7 @@ def promotion_history(
         .filter(F.col("best").isNull() | (score > F.col("best")))
     )
     promotions = pin(_promotions(records, entry, threshold))
-    placed = pin(promotions.join(rows.select("family", "seq", "block"), ["family", "seq"]))
-    by_block = placed.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
+    by_block = promotions.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
     opening = blocks.join(by_block, ["family", "block"], "left").select(
         "family",
         "block",
@@ -204,7 +203,7 @@ def promotion_history(
     )
     held = (
         rows.join(opening, ["family", "block"])
-        .join(promotions, ["family", "seq"], "left")
+        .join(promotions, ["family", "block", "seq"], "left")
         .withColumn("champion", F.coalesce(F.last("promoted", ignorenulls=True).over(in_block), F.col("opening")))
     )
     return held.select(
