@@ -1,8 +1,13 @@
-"""Line dedup on content-defined chunks of lines.
+"""Line dedup, over passages of two or more lines or over content-defined chunks.
 
-A rolling hash over the hashes of two neighbouring lines decides where a chunk ends, so chunks of a shared passage come out alike
-wherever it stands in a text. Chunks of several lines that occur before, in the whole corpus, are removed, after their bytes
-have been compared with those of the first occurrence. Native expressions only.
+Passages: the hash of two neighbouring lines rolls over every line, so each shared run of two or more lines is found whole, wherever it
+starts and ends.
+
+Chunks: the same hash decides where a chunk ends, so chunks of a shared passage come out alike wherever it stands in a text; what
+stands between two ends is found, passages without two ends are not.
+
+What occurs before, in the whole corpus, is removed, after its bytes have been compared with those of the first occurrence. Native
+expressions only.
 """
 
 from __future__ import annotations
@@ -132,6 +137,100 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines:
     )
 
 
+def _pairs(text: Column) -> Column:
+    """(at, hash, bytes) of each two neighbouring lines that are not both white space; null and single lines have none."""
+
+    def of(lines: Column) -> Column:
+        def pair(x: Column, i: Column) -> Column:
+            y = F.get(lines, i + 1)
+            size = F.octet_length(x) + F.octet_length(y) + 1
+            return F.when(
+                F.concat(x, y).rlike(r"\S"), F.struct(i.alias("at"), F.xxhash64(x, y).alias("hash"), size.alias("bytes"))
+            )
+
+        return F.filter(F.transform(F.slice(lines, 1, F.size(lines) - 1), pair), lambda x: x.isNotNull())
+
+    return let(F.split(text, "\n", -1), of)
+
+
+def _pair_at(lines: Column, at: Column) -> Column:
+    return F.concat(F.get(lines, at), F.lit("\n"), F.get(lines, at + 1))
+
+
+def remove_repeated_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` cut by every passage of two or more lines that occurs earlier, and two more columns:
+    ``_n_lines`` of the input and ``_n_removed``, the lines cut.
+
+    A line goes if it and a neighbour also stand next to each other, in this order, at an earlier place: an earlier document or an earlier line of
+    this one. All places are judged on the input. So each run of two or more lines that an earlier document holds goes whole, and a
+    copy of several lines becomes empty. Where a line follows itself, a repeat does not cut the lines of its own first occurrence. Single
+    lines, and passages of white space, stay.
+
+    Reads ``doc_id`` and ``text``; columns, order, nulls, empty texts, repeated rows and empty tables are as in ``remove_repeated_chunks``.
+    Hashes find the candidates; a pair of lines goes only if its bytes equal those of the first occurrence.
+    """
+    keyed = docs.select(*_keys(F.col("doc_id"), F.col("text")), "text")
+    # Narrow: where each pair stands. Only pairs whose hash repeats are ordered.
+    places = pin(keyed.select("k1", "k2", F.explode(_pairs(F.col("text"))).alias("p")).select("k1", "k2", "p.*"))
+    twice = pin(places.groupBy("hash", "bytes").agg(F.count("*").alias("n")).filter("n > 1").select("hash", "bytes"))
+    held = pin(places.join(twice, ["hash", "bytes"]))
+    place = F.struct(F.col("k1").isNull().alias("no"), "k1", "k2", "at")
+    first = (
+        held.groupBy("hash", "bytes")
+        .agg(F.min(place).alias("first"))
+        .select("hash", "bytes", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"), F.col("first.at").alias("f_at"))
+    )
+    first = pin(first)
+    others = (
+        held.join(first, ["hash", "bytes"])
+        .filter(~(_same("k", "f") & (F.col("at") == F.col("f_at"))))
+        .select("hash", "bytes", "k1", "k2", "at", (_same("k", "f") & (F.col("at") == F.col("f_at") + 1)).alias("overlaps"))
+        .distinct()
+    )
+    # Texts meet their narrow side by a sort on both keys at every size.
+    wanted = first.groupBy("f1", "f2").agg(F.collect_list(F.struct("f_at", "hash", "bytes")).alias("wanted"))
+
+    def pick(lines: Column) -> Column:
+        return F.transform(
+            F.col("wanted"),
+            lambda w: F.struct(w["hash"].alias("hash"), w["bytes"].alias("bytes"), _pair_at(lines, w["f_at"]).alias("pair")),
+        )
+
+    sources = (
+        keyed.join(wanted.hint("merge"), _same("k", "f"))
+        .select(F.explode(let(F.split("text", "\n", -1), pick)).alias("p"))
+        .select("p.*")
+        .groupBy("hash", "bytes")
+        .agg(F.first("pair").alias("pair"))
+    )
+    gone = (
+        others.join(sources, ["hash", "bytes"])
+        .groupBy(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
+        .agg(F.collect_list(F.struct("at", "overlaps", "pair")).alias("_gone"))
+    )
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("_row"), *_keys(F.col("doc_id"), F.col("text")))
+    matched = rows.join(pin(gone).hint("merge"), _same("k", "g"), "left")
+
+    def left_over(lines: Column) -> Column:
+        equal = F.filter("_gone", lambda g: _pair_at(lines, g["at"]) == g["pair"])
+        cut = F.flatten(
+            F.transform(equal, lambda g: F.when(g["overlaps"], F.array(g["at"] + 1)).otherwise(F.array(g["at"], g["at"] + 1)))
+        )
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut), lambda i: F.get(lines, i))
+
+    lines = F.coalesce(line_count(F.col("_row.text")), F.lit(0)).cast("bigint")
+    uncut = F.col("_left").isNull()
+    return matched.withColumn("_left", F.when(F.col("_gone").isNotNull(), let(F.split("_row.text", "\n", -1), left_over))).select(
+        *[
+            (F.when(uncut, F.col("_row.text")).otherwise(F.array_join("_left", "\n")) if c == "text" else F.col(f"_row.`{c}`")).alias(c)
+            for c in names
+        ],
+        lines.alias("_n_lines"),
+        F.when(uncut, F.lit(0)).otherwise(lines - F.size("_left")).cast("bigint").alias("_n_removed"),
+    )
+
+
 def _placed(at: Column, chunk: Column) -> Column:
     return F.concat(at.cast("string"), F.lit(":"), chunk)
 

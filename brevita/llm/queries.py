@@ -86,7 +86,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
-    return lines.remove_repeated_chunks(docs).select(
+    return lines.remove_repeated_passages(docs).select(
         "doc_id",
         F.col("_n_lines").alias("n_lines"),
         F.col("_n_removed").alias("n_removed"),
