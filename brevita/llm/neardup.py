@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, size: in
     a set holds the distinct sequences of ``width`` words, or the whole sequence of a shorter text. A text that is null or has no
     words has an empty set and no links. One row per input row: doc_id, text_hash (tells rows of one id apart), n_shingles,
     component_id (smallest doc_id reachable, its own included), kept (doc_id equals component_id). A null id is smaller than none; a group of null
-    ids only has a null component_id and is kept. Repeated rows have equal results. An empty table gives an empty result.
+    ids only has a null component_id and is kept. Repeated rows have equal results. Also ``component``, a number of the group that tells groups
+    of one component_id apart, null for a text without words. An empty table gives an empty result.
     """
     if percent < 80:
         raise ValueError("the inverted lists are made for similarities of 80 percent or more")
@@ -282,12 +283,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, size: in
     named = classes.select("digest", "least", "cls").join(roots.withColumnRenamed("v", "cls"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = named.select("digest", "root").join(ids, "root").select("digest", "component_id", F.lit(True).alias("_known"))
+    known = named.select("digest", "root").join(ids, "root").select("digest", "component_id", F.col("root").alias("component"), F.lit(True).alias("_known"))
     component = F.when(F.col("_known"), F.col("component_id")).otherwise(F.col("doc_id"))
     empty = F.when(F.col("n_shingles") > 0, F.col("digest"))
     return (
         sets.select("doc_id", "text_hash", "n_shingles", empty.alias("digest"))
         .join(known, "digest", "left")
         .withColumn("component_id", component)
-        .select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "component")
     )

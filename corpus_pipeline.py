@@ -32,12 +32,28 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five words to a shingle, similarity 0.8 or more."""
+    """One row of each group of near-duplicates: five words to a shingle, similarity 0.8 or more.
+
+    It is the row with the smallest id, nulls last, then the smallest hash of the text; of rows equal in both the one with the smallest hash of
+    all columns. Texts without words are in no group and stay.
+    """
     prepare(spark)
-    found = neardup.near_duplicates(docs)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    found = neardup.near_duplicates(docs).filter("component is not null")
+    key = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")
+    # Narrow: one row for each key, with the times it occurs.
+    keys = pin(found.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("times")))
+    best = keys.groupBy(F.col("component").alias("_of")).agg(F.min(key).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    named = [F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")]
+    gone = pin(keys.join(best, F.col("component") == F.col("_of")).filter(~key.eqNullSafe(F.col("best"))).select(*named))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
-    return docs.join(pin(gone), same, "left_anti")
+    left = docs.join(gone, same, "left_anti")
+    # Rows of one id and text: each map task sends one of them at most.
+    several = pin(keys.filter("times > 1").select(*named).join(gone.select(F.col("_doc").alias("_d"), F.col("_hash").alias("_h")),
+        F.col("_doc").eqNullSafe(F.col("_d")) & F.col("_hash").eqNullSafe(F.col("_h")), "left_anti"))
+    row = F.struct(*docs.columns).alias("_row")
+    one = left.join(several, same).select("_doc", "_hash", row, F.xxhash64(*docs.columns).alias("_rest"))
+    one = one.groupBy("_doc", "_hash").agg(F.min_by("_row", "_rest").alias("_row")).select("_row.*")
+    return left.join(several, same, "left_anti").unionByName(one)
 
 
 def keep_clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
