@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brevita.llm import contamination, langid, lines, mixing, neardup, quality, secret_scan, substrings, topk, warc
+from brevita.llm import contamination, langid, lines, mixing, neardup, phrases, quality, secret_scan, substrings, topk, warc
 from brevita.llm.common import crc_remainder, prepare, table
 from brevita.session import fresh_dir
 
@@ -94,6 +94,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
@@ -105,8 +109,42 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_line_dedup": op10_line_dedup,
+    "op13_phrases": op13_phrases,
 }
 ORACLE = {
+    "op13_phrases": r"""
+with p as (
+  select coalesce(lang, 'und') as lang, doc_id,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (
+  select lang, unnest(list_concat(
+    w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i+1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')))) as phrase
+  from w),
+f as (select lang, phrase, string_split(phrase, ' ') as w, count(*)::hugeint as f from g group by all),
+n as (select lang, sum(len(w))::bigint as n from w group by lang),
+longer as (select lang, w, f from f where len(w) = 3 and f >= 10),
+inside as (
+  select lang, phrase, max(f) as longest from (
+    select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, f from longer)
+  group by all),
+c as (
+  select f.lang, f.phrase, f.w, f.f as a from f left join inside i on f.lang = i.lang and f.phrase = i.phrase
+  where len(f.w) > 1 and f.f >= 10 and coalesce(100 * longest < 50 * f.f, true)),
+cuts as (select *, unnest(range(1, len(w))) as k from c),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, l.f as l, r.f as r, (1000000 * c.a * c.a) // (l.f * r.f) as score
+  from cuts c join f l on c.lang = l.lang and l.phrase = array_to_string(c.w[1:c.k], ' ')
+  join f r on c.lang = r.lang and r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best as (select *, row_number() over (partition by lang, phrase order by score, k) as nth from scored),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best where nth = 1)
+select r.lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from ranked r join n on r.lang = n.lang where rank <= 2000
+""",
     "op9_topk": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as q

@@ -76,7 +76,7 @@ def test_repeated_rows_go_through_every_stage(spark, small):
 def test_registration():
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
     assert set(ORACLE) <= set(contract.oracle_sql())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert len(pipeline.STAGES) == 5
 
 
