@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brevita.llm import contamination, langid, lines, mixing, neardup, phrases, quality, secret_scan, substrings, topk, warc
+from brevita.llm import alignment, contamination, fingerprints, langid, lines, mixing, neardup, phrases, quality, secret_scan, substrings, topk, warc
 from brevita.llm.common import crc_remainder, prepare, table
-from brevita.session import fresh_dir
+from brevita.session import fresh_dir, pin
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = pin(alignment.align(docs).withColumn("digest", digest).drop("groups"))
+    scored = alignment.score_links(aligned, pin(alignment.link_counts(aligned)))
+    return scored.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("digest").alias("groups_sha256"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_with_next(table(prepare(spark), sf_dir, "documents"))
+    return found.select("row.doc_id", *found.columns[1:])
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(prepare(spark), sf_dir, "documents"))
 
@@ -109,6 +122,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_line_dedup": op10_line_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_fingerprints": op12_fingerprints,
     "op13_phrases": op13_phrases,
 }
 ORACLE = {
