@@ -7,13 +7,17 @@ too, by bisect, cut an interval into a left half, a group without cuts, and a ri
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +28,11 @@ from brevita.session import pin
 
 FOLDER = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = f"{FOLDER}/byte_bpe_50k.json", f"{FOLDER}/piece_bpe_32k.model"
+# Fixed: the words that a byte-level tokenizer with its own pattern splits a text into.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_BLANK = re.compile(r"\s{1000}")
+# Texts are aligned in parts of about so many bytes, whose arrays fit a core's cache.
+PART_BYTES = 256 << 10
 # Links of a block of documents, whose id pairs get their counts together. A longer document is a block of its own.
 BLOCK_LINKS = 4_000_000
 
@@ -50,10 +59,30 @@ class Tokens:
         self.sizes = np.array([len(x) for x in self.spelled], np.int64)
 
 
+def _ranks(data: bytes, spelled: list[bytes]) -> dict[bytes, int] | None:
+    """Bytes to ids, if the file's pairs merge in the order of their ids and nothing else bears on the result; else None."""
+    file = json.loads(data)
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not file["normalizer"]
+    odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if model["type"] != "BPE" or odd or not plain:
+        return None
+    ids, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    singles = set(ids) - {x + y for x, y in merges} - {x["content"] for x in file["added_tokens"]}
+    if len(singles) != 256 or any(ids.get(x + y) != 256 + i for i, (x, y) in enumerate(merges)):
+        return None
+    return {spelled[i]: i for i in range(256 + len(merges))}
+
+
 def byte_level(data: bytes) -> Tokens:
-    """From a tokenizer's JSON with a byte-level vocabulary; texts get a blank in front, special tokens' strings are plain text."""
+    """From a tokenizer's JSON with a byte-level vocabulary; texts get a blank in front, special tokens' strings are plain text.
+
+    A vocabulary whose ids follow its merges is encoded by ranks, which gives the same ids several times as fast. Texts with long runs of white space, which
+    overflow the regular expression there, and other vocabularies take the tokenizer of the file.
+    """
     # Tasks already use all cores.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(data)
@@ -63,9 +92,15 @@ def byte_level(data: bytes) -> Tokens:
     spelled = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         spelled[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+    ranks = _ranks(data, spelled)
+    by_rank = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={}) if ranks else None
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        if by_rank is None:
+            return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [
+            tokenizer.encode(" " + t, add_special_tokens=False).ids if _LONG_BLANK.search(t) else by_rank.encode_ordinary(" " + t) for t in texts
+        ]
 
     return Tokens(encode, spelled)
 
@@ -154,6 +189,12 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray, starts_b: np.ndarray) -> tu
     return np.arange(len(place_b)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many), place_b
 
 
+@functools.cache
+def _signs(top: int) -> list[str]:
+    """Each id below ``top`` with a comma, as inside a group's side, then with a bar, as between the sides, then with a semicolon, as behind a group."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(top)]
+
+
 @dataclass
 class Aligned:
     """Tokens of many texts one after another: ids, places behind each text's last, and places of the shared ends."""
@@ -172,18 +213,19 @@ class Aligned:
 
     def written(self) -> list[str]:
         """Of each text ``a1,a2|b1;a3|b2,b3``: groups in order, each with the ids of both sides."""
-        n = len(self.ids_a)
-        close_a, close_b = np.zeros(n, bool), np.zeros(len(self.ids_b), bool)
+        n, m = len(self.ids_a), len(self.ids_b)
+        close_a, close_b = np.zeros(n, bool), np.zeros(m, bool)
         close_a[self.cuts_a] = close_b[self.cuts_b] = True
-        # A group's first ids stand before its second ones: sort by (group, side), places kept.
-        group_a = np.cumsum(close_a) - close_a
-        group_b = np.cumsum(close_b) - close_b
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        top = int(max(self.ids_a.max(initial=0), self.ids_b.max(initial=0))) + 1
-        digits = [str(i) for i in range(top)]
-        # Behind an id: a comma inside a group's side, a bar between the sides, a semicolon behind the group.
-        table = [d + "," for d in digits] + [d + "|" for d in digits] + [d + ";" for d in digits]
-        signs = np.concatenate([self.ids_a + top * close_a, self.ids_b + 2 * top * close_b])[order].tolist()
+        # A group's first ids stand behind all second ids of the groups before, its second ids behind all first ids up to it.
+        before_b = np.concatenate([[0], self.cuts_b + 1])
+        up_to_a = np.concatenate([self.cuts_a + 1, [n]])
+        place_a = np.arange(n) + before_b[np.cumsum(close_a) - close_a]
+        place_b = np.arange(m) + up_to_a[np.cumsum(close_b) - close_b]
+        top = 1 << int(max(self.ids_a.max(initial=0), self.ids_b.max(initial=0))).bit_length()
+        table = _signs(top)
+        signs = np.empty(n + m, np.int64)
+        signs[place_a], signs[place_b] = self.ids_a + top * close_a, self.ids_b + 2 * top * close_b
+        signs = signs.tolist()
         stops, begin, out = (self.stops_a + self.stops_b).tolist(), 0, []
         for stop in stops:
             out.append("".join([table[s] for s in signs[begin:stop]])[:-1])
@@ -248,7 +290,7 @@ def _blocks(sent):
         held, links, block = [], 0, 0
         for batch in batches:
             part, shape = batch.column("part")[0].as_py() if batch.num_rows else 0, batch.column("row").type
-            for piece in groups([None if t is None else t.encode() for t in batch.column("text").to_pylist()]):
+            for piece in groups(batch.column("text").cast(pa.binary()).to_pylist(), PART_BYTES):
                 rows = batch.slice(piece.start, piece.stop - piece.start)
                 found = align_texts(rows.column("text").to_pylist(), a, b)
                 held.append((rows.column("row"), found))
@@ -260,8 +302,9 @@ def _blocks(sent):
             yield from finished(held, (part << 32) + block, shape)
 
     def finished(held: list, block: int, shape: pa.DataType) -> Iterator[pa.RecordBatch]:
-        pairs, codes, times = np.unique(np.concatenate([x.links for _, x in held]), return_inverse=True, return_counts=True)
-        order = np.argsort(-times, kind="stable")
+        codes, pairs = pd.factorize(np.concatenate([x.links for _, x in held]))
+        times = np.bincount(codes, minlength=len(pairs))
+        order = np.lexsort((pairs, -times))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         codes, begin = place[codes], 0

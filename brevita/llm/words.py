@@ -19,12 +19,12 @@ ALNUM = bytes(
 )
 
 
-def groups(texts: Sequence[bytes | None]) -> Iterator[slice]:
-    """Consecutive slices of about ``GROUP_BYTES`` bytes; a longer text is a slice of its own."""
+def groups(texts: Sequence[bytes | None], most: int = GROUP_BYTES) -> Iterator[slice]:
+    """Consecutive slices of about ``most`` bytes; a longer text is a slice of its own."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text or b"")
-        if size > GROUP_BYTES:
+        if size > most:
             yield slice(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):

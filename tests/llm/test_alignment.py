@@ -107,7 +107,7 @@ def test_empty_and_hot_tables(spark, tmp_path):
 def test_small_blocks_and_other_columns(spark, monkeypatch, tmp_path):
     """Blocks of few links give the same sums; all columns of a row pass, whatever their names."""
     monkeypatch.setattr(alignment, "BLOCK_LINKS", 50)
-    monkeypatch.setattr("brevita.llm.words.GROUP_BYTES", 300)
+    monkeypatch.setattr(alignment, "PART_BYTES", 300)
     df = odd(spark).withColumns({"block": alignment.F.lit(1), "groups": alignment.F.col("doc_id"), "place": alignment.F.lit("p")})
     aligned = alignment.pin(alignment.align(df, keep=tuple(df.columns)).withColumnRenamed("groups", "digest"))
     counts = alignment.link_counts(aligned)
@@ -148,6 +148,24 @@ def test_a_long_interval_without_cuts():
     assert len(x) == 4000 + 4000 - 1 and y.max() == 3999
 
 
+def test_ranks_give_the_ids_of_the_file(small):
+    """The faster way by ranks against the tokenizer of the file, on given texts, odd ones and random joins of tokens."""
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    file = Tokenizer.from_file(alignment.BYTE_LEVEL)
+    file.encode_special_tokens = True
+    rng = np.random.default_rng(5)
+    tokens = [t for t in (x.decode(errors="ignore") for x in A.spelled) if t]
+    texts = ["".join(rng.choice(tokens, 3)) for _ in range(20_000)] + [t for _, t in ODD]
+    texts += [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 '{chr(c)}" for c in range(1, 0x3000)]
+    texts += [" " * 3000 + "a", "x" * 2000, "a" + "\n \t" * 500]
+    texts += [t for t in pq.read_table(f"{small}/documents.parquet")["text"].to_pylist() if t]
+    assert A.encode(texts) == [e.ids for e in file.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    words = alignment.FOLDER + "/word_bpe_49k.json"
+    assert alignment._ranks(open(words, "rb").read(), []) is None
+
+
 def test_large_vocabulary_files_are_refused(spark):
     with pytest.raises(ValueError, match="more than 10 bytes"):
         alignment.read_file(spark, alignment.PIECES, most=10)
