@@ -8,12 +8,13 @@ order of their first phrases, so a phrase is complete as soon as a block begins
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ MOST_WORDS = 3
 LEAST = 10
 TOP = 2000
 # Entries of a task's tries, of a container before it bursts, of a block of a run, and waiting in a merge before complete ones go.
-ENTRIES = 1_000_000
+ENTRIES = 1_500_000
 BURST = 4096
 BLOCK = 4096
 WAITING = 300_000
@@ -32,7 +33,7 @@ WAITING = 300_000
 PART_WORDS = 1_000_000
 # Phrases of one two-word prefix are dealt over so many partitions by what follows.
 FOLLOWERS = 16
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 6 << 20
 
 # A-Z to lower case, tab to blank; marks and line ends that part pieces to a byte that UTF-8 never has.
 _CUT = 0xFF
@@ -69,51 +70,71 @@ class Trie:
         if not len(keys):
             return
         first = keys >> (2 * _BITS)
-        rest = keys & ((1 << 2 * _BITS) - 1)
         starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
-        rests, times = rest.tolist(), counts.tolist()
-        for begin, end in zip(starts, [*starts[1:], len(keys)], strict=True):
-            self._subtree(int(first[begin]), rests[begin:end], times[begin:end])
-
-    def _subtree(self, first: int, rests: list[int], counts: list[int]) -> None:
-        node = self.root.setdefault(first, {})
-        before = self.size.get(first, 0)
-        if first in self.burst:
-            grown = 0
-            for rest, n in zip(rests, counts, strict=True):
-                container = node.setdefault(rest >> _BITS, {})
-                grown -= len(container)
-                container[rest & _MASK] = container.get(rest & _MASK, 0) + n
-                grown += len(container)
-            self.size[first] = before + grown
-        else:
-            for rest, n in zip(rests, counts, strict=True):
-                node[rest] = node.get(rest, 0) + n
-            self.size[first] = len(node)
-            if len(node) > self.burst_at:
-                below: dict[int, dict[int, int]] = {}
-                for rest, n in node.items():
-                    below.setdefault(rest >> _BITS, {})[rest & _MASK] = n
-                self.root[first] = below
-                self.burst.add(first)
-        self.entries += self.size[first] - before
+        firsts, stops = first[starts].tolist(), [*starts[1:].tolist(), len(keys)]
+        rests, times = (keys & ((1 << 2 * _BITS) - 1)).tolist(), counts.tolist()
+        root, begin = self.root, 0
+        for word, end in zip(firsts, stops, strict=True):
+            node = root.get(word)
+            if node is None:
+                root[word] = node = dict(zip(rests[begin:end], times[begin:end], strict=True))
+                self.size[word] = len(node)
+                self.entries += len(node)
+            elif word in self.burst:
+                self._below(word, node, rests[begin:end], times[begin:end])
+            else:
+                get, before = node.get, len(node)
+                for rest, n in zip(rests[begin:end], times[begin:end], strict=True):
+                    node[rest] = get(rest, 0) + n
+                self.size[word] = len(node)
+                self.entries += len(node) - before
+            if len(node) > self.burst_at and word not in self.burst:
+                self._burst(word, node)
+            begin = end
+
+    def _below(self, word: int, node: dict, rests: list[int], counts: list[int]) -> None:
+        grown = 0
+        for rest, n in zip(rests, counts, strict=True):
+            second, third = rest >> _BITS, rest & _MASK
+            container = node.get(second)
+            if container is None:
+                node[second] = {third: n}
+                grown += 1
+            elif third in container:
+                container[third] += n
+            else:
+                container[third] = n
+                grown += 1
+        self.size[word] += grown
+        self.entries += grown
+
+    def _burst(self, word: int, node: dict[int, int]) -> None:
+        below: dict[int, dict[int, int]] = {}
+        for rest, n in node.items():
+            below.setdefault(rest >> _BITS, {})[rest & _MASK] = n
+        self.root[word] = below
+        self.burst.add(word)
 
     def take(self, firsts: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Keys and counts of whole subtrees, which leave the trie."""
-        keys, counts = [], []
-        for first in firsts:
-            node, top = self.root.pop(first), first << (2 * _BITS)
-            if first in self.burst:
+        tops, sizes, rests, counts = [], [], [], []
+        for word in firsts:
+            node, top = self.root.pop(word), word << (2 * _BITS)
+            if word in self.burst:
                 for second, container in node.items():
-                    above = top | (second << _BITS)
-                    keys += [above | third for third in container]
+                    tops.append(top | (second << _BITS))
+                    sizes.append(len(container))
+                    rests += container
                     counts += container.values()
-                self.burst.discard(first)
+                self.burst.discard(word)
             else:
-                keys += [top | rest for rest in node]
+                tops.append(top)
+                sizes.append(len(node))
+                rests += node
                 counts += node.values()
-            self.entries -= self.size.pop(first)
-        return np.array(keys, np.int64), np.array(counts, np.int64)
+            self.entries -= self.size.pop(word)
+        above = np.repeat(np.array(tops, np.int64), np.array(sizes, np.int64))
+        return above | np.array(rests, np.int64), np.array(counts, np.int64)
 
     def largest(self, share: float) -> list[int]:
         """First words of the largest subtrees, which together hold at least that share of the entries."""
@@ -173,7 +194,7 @@ class Counter:
             self.totals[lang] = self.totals.get(lang, 0) + int((new > 0).sum())
             trie.add(*_tally(ids, len(carry)))
             carry = ids[-2:]
-            if len(self.words) > _MASK // 2:  # room for the words of one more part
+            if len(self.words) > _MASK // 4:  # room for the words of one more part, of four bytes or more on average
                 kept = [list(self.words)[i] for i in carry.tolist()]
                 self.spill(0)
                 carry = np.array([self.words[w] for w in kept], np.int64)
@@ -185,10 +206,10 @@ class Counter:
         """Largest subtrees leave until no more than ``down_to`` entries are held; at 0 all, and the words are forgotten."""
         held = sum(t.entries for t in self.tries.values())
         share = (held - down_to) / held if held else 0
-        names = list(self.words)
-        # Sorted with the blank that follows every word, so phrases sort by their bytes.
+        # Every word with the blank behind it, so phrases sort by their bytes; no word is nothing.
+        names = [b"", *[w + b" " for w in self.words][1:]]
         place = np.empty(len(names), np.int64)
-        order = sorted(range(1, len(names)), key=lambda i: names[i] + b" ")
+        order = sorted(range(1, len(names)), key=names.__getitem__)
         place[0], place[order] = 0, np.arange(1, len(names))
         hashes = pd.util.hash_array(np.array(names, dtype=object), categorize=False)
         hashes[0] = 0
@@ -202,11 +223,17 @@ class Counter:
     def finish(self) -> None:
         self.spill(0)
         for lang, n in self.totals.items():
-            self.rows.append((0, lang, b"", *_packed([b""], [n])))
+            self.rows.append((0, lang, b"", *_packed([b""], np.array([n]))))
 
 
-def _packed(phrases: list[bytes], counts: list[int]) -> tuple[bytes, bytes]:
-    return zlib.compress(b"\n".join(phrases), 1), zlib.compress(np.array(counts, np.int64).tobytes(), 1)
+def _packed(phrases: list[bytes], counts: np.ndarray) -> tuple[bytes, bytes]:
+    compress = zstandard.ZstdCompressor(level=1).compress
+    return compress(b"\n".join(phrases)), compress(counts.astype(np.int64).tobytes())
+
+
+def _unpacked(phrases: bytes, counts: bytes) -> tuple[list[bytes], list[int]]:
+    decompress = zstandard.ZstdDecompressor().decompress
+    return decompress(phrases).split(b"\n"), np.frombuffer(decompress(counts), np.int64).tolist()
 
 
 def _run(lang: str, keys: np.ndarray, counts: np.ndarray, names: list[bytes], place: np.ndarray, hashes: np.ndarray, parts: int):
@@ -216,11 +243,11 @@ def _run(lang: str, keys: np.ndarray, counts: np.ndarray, names: list[bytes], pl
         prefix = hashes[a] * np.uint64(3) + hashes[b] * np.uint64(5)
         follower = np.where(c > 0, hashes[c] % np.uint64(FOLLOWERS), 0)
         part = (mixed(prefix + follower.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort(((place[a] << (2 * _BITS)) | (place[b] << _BITS) | place[c], part))
-    part, a, b, c, counts = part[order], a[order].tolist(), b[order].tolist(), c[order].tolist(), counts[order].tolist()
-    # Every word with the blank behind it; no word is nothing.
-    blank = [b"", *[n + b" " for n in names[1:]]]
-    phrases = [blank[x] + blank[y] + blank[z] for x, y, z in zip(a, b, c, strict=True)]
+    order = np.argsort((place[a] << (2 * _BITS)) | (place[b] << _BITS) | place[c])
+    order = order[np.argsort(part[order], kind="stable")]
+    part, counts = part[order], counts[order]
+    firsts, seconds, thirds = (map(names.__getitem__, x[order].tolist()) for x in (a, b, c))
+    phrases = list(map(add, map(add, firsts, seconds), thirds))
     edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
     for begin, end in zip(edges, edges[1:], strict=False):
         for at in range(begin, end, BLOCK):
@@ -264,8 +291,14 @@ def _merged(least: int, waiting: int):
 
     def given(lang: str, found: dict[bytes, int], before: bytes | None) -> pa.RecordBatch:
         """What is complete leaves ``found``; all of it without ``before``."""
-        done = list(found) if before is None else [p for p in found if p < before]
-        rows = [(p, n) for p in done if (n := found.pop(p)) >= least or not p]
+        if before is None:
+            done = list(found.items())
+            found.clear()
+        else:
+            done = [(p, n) for p, n in found.items() if p < before]
+            for p, _ in done:
+                del found[p]
+        rows = [(p, n) for p, n in done if n >= least or not p]
         phrases = pa.array([p[:-1].decode() for p, _ in rows], pa.string())
         counts = pa.array([n for _, n in rows], pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), phrases, counts], names=["lang", "phrase", "f"])
@@ -282,10 +315,10 @@ def _merged(least: int, waiting: int):
                 elif len(found) > limit:
                     yield given(key[1], found, head.as_py())
                     limit = max(waiting, 2 * len(found))
-                get = found.get
-                numbers = np.frombuffer(zlib.decompress(counts.as_py()), np.int64).tolist()
-                for p, n in zip(zlib.decompress(phrases.as_py()).split(b"\n"), numbers, strict=True):
-                    found[p] = get(p, 0) + n
+                new = dict(zip(*_unpacked(phrases.as_py(), counts.as_py()), strict=True))
+                for p in new.keys() & found.keys():
+                    new[p] += found[p]
+                found |= new
         if key is not None:
             yield given(key[1], found, None)
 

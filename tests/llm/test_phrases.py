@@ -92,8 +92,8 @@ def test_parts_of_a_very_long_text(monkeypatch):
     counter.finish()
     found = Counter()
     for _, _, _, names, numbers in counter.rows:
-        for p, n in zip(phrases.zlib.decompress(names).split(b"\n"), np.frombuffer(phrases.zlib.decompress(numbers), np.int64), strict=True):
-            found[tuple(p.decode().split(" ")[:-1])] += int(n)
+        for p, n in zip(*phrases._unpacked(names, numbers), strict=True):
+            found[tuple(p.decode().split(" ")[:-1])] += n
     assert found == counted([("en", text), ("en", ""), ("en", "short one")])["en"]
 
 
