@@ -24,8 +24,9 @@ from brevita.session import pin
 MOST_WORDS = 3
 LEAST = 10
 TOP = 2000
-# Entries of a task's tries, of a container before it bursts, of a block of a run, and waiting in a merge before complete ones go.
-ENTRIES = 1_500_000
+# Entries of a task's tries, of a run, of a container before it bursts, of a block of a run, and waiting in a merge before complete ones go.
+ENTRIES = 1_200_000
+RUN = 300_000
 BURST = 4096
 BLOCK = 4096
 WAITING = 300_000
@@ -33,7 +34,7 @@ WAITING = 300_000
 PART_WORDS = 1_000_000
 # Phrases of one two-word prefix are dealt over so many partitions by what follows.
 FOLLOWERS = 16
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 4 << 20
 
 # A-Z to lower case, tab to blank; marks and line ends that part pieces to a byte that UTF-8 never has.
 _CUT = 0xFF
@@ -136,6 +137,18 @@ class Trie:
         above = np.repeat(np.array(tops, np.int64), np.array(sizes, np.int64))
         return above | np.array(rests, np.int64), np.array(counts, np.int64)
 
+    def portions(self, firsts: list[int], most: int) -> Iterator[list[int]]:
+        """The first words in lists whose subtrees have about ``most`` entries together; a larger subtree is a list of its own."""
+        chosen, held = [], 0
+        for word in firsts:
+            if chosen and held + self.size[word] > most:
+                yield chosen
+                chosen, held = [], 0
+            chosen.append(word)
+            held += self.size[word]
+        if chosen:
+            yield chosen
+
     def largest(self, share: float) -> list[int]:
         """First words of the largest subtrees, which together hold at least that share of the entries."""
         chosen, held = [], 0
@@ -214,9 +227,8 @@ class Counter:
         hashes = pd.util.hash_array(np.array(names, dtype=object), categorize=False)
         hashes[0] = 0
         for lang, trie in self.tries.items():
-            keys, counts = trie.take(list(trie.size) if not down_to else trie.largest(share))
-            if len(keys):
-                self.rows += _run(lang, keys, counts, names, place, hashes, self.parts)
+            for firsts in trie.portions(list(trie.size) if not down_to else trie.largest(share), RUN):
+                self.rows += _run(lang, *trie.take(firsts), names, place, hashes, self.parts)
         if not down_to:
             self.words, self.tries = Words(), {}
 
