@@ -9,11 +9,11 @@ order of their first phrases, so a phrase is complete as soon as a block begins
 from __future__ import annotations
 
 from collections.abc import Iterator
-from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ MOST_WORDS = 3
 LEAST = 10
 TOP = 2000
 # Entries of a task's tries, of a run, of a container before it bursts, of a block of a run, and waiting in a merge before complete ones go.
-ENTRIES = 1_200_000
+ENTRIES = 1_000_000
 RUN = 300_000
 BURST = 4096
 BLOCK = 4096
@@ -42,6 +42,7 @@ _BYTES = bytes(_CUT if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32
 _MARK = bytes([_CUT])
 _BITS = 21
 _MASK = (1 << _BITS) - 1
+_TEXT = pa.large_binary()
 
 
 class Words(dict):
@@ -226,21 +227,22 @@ class Counter:
         place[0], place[order] = 0, np.arange(1, len(names))
         hashes = pd.util.hash_array(np.array(names, dtype=object), categorize=False)
         hashes[0] = 0
+        spelled = pa.array(names, _TEXT)
         for lang, trie in self.tries.items():
             for firsts in trie.portions(list(trie.size) if not down_to else trie.largest(share), RUN):
-                self.rows += _run(lang, *trie.take(firsts), names, place, hashes, self.parts)
+                self.rows += _run(lang, *trie.take(firsts), spelled, place, hashes, self.parts)
         if not down_to:
             self.words, self.tries = Words(), {}
 
     def finish(self) -> None:
         self.spill(0)
         for lang, n in self.totals.items():
-            self.rows.append((0, lang, b"", *_packed([b""], np.array([n]))))
+            self.rows.append((0, lang, b"", *_packed(b"", np.array([n]))))
 
 
-def _packed(phrases: list[bytes], counts: np.ndarray) -> tuple[bytes, bytes]:
+def _packed(phrases: bytes, counts: np.ndarray) -> tuple[bytes, bytes]:
     compress = zstandard.ZstdCompressor(level=1).compress
-    return compress(b"\n".join(phrases)), compress(counts.astype(np.int64).tobytes())
+    return compress(phrases), compress(counts.astype(np.int64).tobytes())
 
 
 def _unpacked(phrases: bytes, counts: bytes) -> tuple[list[bytes], list[int]]:
@@ -248,7 +250,7 @@ def _unpacked(phrases: bytes, counts: bytes) -> tuple[list[bytes], list[int]]:
     return decompress(phrases).split(b"\n"), np.frombuffer(decompress(counts), np.int64).tolist()
 
 
-def _run(lang: str, keys: np.ndarray, counts: np.ndarray, names: list[bytes], place: np.ndarray, hashes: np.ndarray, parts: int):
+def _run(lang: str, keys: np.ndarray, counts: np.ndarray, names: pa.Array, place: np.ndarray, hashes: np.ndarray, parts: int):
     """Blocks of the sorted run of these entries for each prefix partition: part, lang, first phrase, phrases, counts."""
     a, b, c = keys >> (2 * _BITS), (keys >> _BITS) & _MASK, keys & _MASK
     with np.errstate(over="ignore"):
@@ -258,13 +260,16 @@ def _run(lang: str, keys: np.ndarray, counts: np.ndarray, names: list[bytes], pl
     order = np.argsort((place[a] << (2 * _BITS)) | (place[b] << _BITS) | place[c])
     order = order[np.argsort(part[order], kind="stable")]
     part, counts = part[order], counts[order]
-    firsts, seconds, thirds = (map(names.__getitem__, x[order].tolist()) for x in (a, b, c))
-    phrases = list(map(add, map(add, firsts, seconds), thirds))
+    # Each phrase ends with a line feed, which no word has; a block leaves out the last one.
+    line_end = pa.scalar(b"\n", _TEXT)
+    phrases = pc.binary_join_element_wise(*[names.take(pa.array(x[order])) for x in (a, b, c)], line_end, pa.scalar(b"", _TEXT))
+    offsets, data = np.frombuffer(phrases.buffers()[1], np.int64, len(phrases) + 1).tolist(), memoryview(phrases.buffers()[2])
     edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
     for begin, end in zip(edges, edges[1:], strict=False):
         for at in range(begin, end, BLOCK):
             to = min(at + BLOCK, end)
-            yield int(part[at]), lang, phrases[at], *_packed(phrases[at:to], counts[at:to])
+            head = bytes(data[offsets[at] : offsets[at + 1] - 1])
+            yield int(part[at]), lang, head, *_packed(data[offsets[at] : offsets[to] - 1], counts[at:to])
 
 
 _RUN = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("head", pa.binary()), ("phrases", pa.binary()), ("counts", pa.binary())])
@@ -304,30 +309,27 @@ def _merged(least: int, waiting: int):
     def given(lang: str, found: dict[bytes, int], before: bytes | None) -> pa.RecordBatch:
         """What is complete leaves ``found``; all of it without ``before``."""
         if before is None:
-            done = list(found.items())
+            rows = [(p, n) for p, n in found.items() if n >= least or not p]
             found.clear()
         else:
-            done = [(p, n) for p, n in found.items() if p < before]
-            for p, _ in done:
-                del found[p]
-        rows = [(p, n) for p, n in done if n >= least or not p]
-        phrases = pa.array([p[:-1].decode() for p, _ in rows], pa.string())
+            done = [p for p in found if p < before]
+            rows = [(p, n) for p in done if (n := found.pop(p)) >= least or not p]
+        names = pa.array([p[:-1].decode() for p, _ in rows], pa.string())
         counts = pa.array([n for _, n in rows], pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), phrases, counts], names=["lang", "phrase", "f"])
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), names, counts], names=["lang", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, found, limit = None, {}, waiting
         for batch in batches:
-            for part, lang, head, phrases, counts in zip(*[batch.column(i) for i in range(5)], strict=True):
-                here = (part.as_py(), lang.as_py())
-                if key != here:
+            for part, lang, head, phrases, counts in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
+                if key != (part, lang):
                     if key is not None:
                         yield given(key[1], found, None)
-                    key, found, limit = here, {}, waiting
+                    key, found, limit = (part, lang), {}, waiting
                 elif len(found) > limit:
-                    yield given(key[1], found, head.as_py())
+                    yield given(lang, found, head)
                     limit = max(waiting, 2 * len(found))
-                new = dict(zip(*_unpacked(phrases.as_py(), counts.as_py()), strict=True))
+                new = dict(zip(*_unpacked(phrases, counts), strict=True))
                 for p in new.keys() & found.keys():
                     new[p] += found[p]
                 found |= new
