@@ -195,6 +195,13 @@ def promotion_history(
         .filter(F.col("best").isNull() | (score > F.col("best")))
     )
     promotions = pin(_promotions(records, entry, threshold))
+    return _decided(rows, blocks.select("family", "block", "entry"), promotions, threshold)
+
+
+def _decided(rows: DataFrame, blocks: DataFrame, promotions: DataFrame, threshold: float) -> DataFrame:
+    """Every row of the blocks against the latest promotion (family, block, seq, promoted) before it, else against its family's ``entry``."""
+    earlier_blocks = Window.partitionBy("family").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("family", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     by_block = promotions.groupBy("family", "block").agg(F.max_by("promoted", "seq").alias("last_promoted"))
     opening = blocks.join(by_block, ["family", "block"], "left").select(
         "family",
@@ -211,10 +218,29 @@ def promotion_history(
         "seq",
         "combined_score",
         F.col("champion").alias("champion_score"),
-        *_decision(F.col("champion"), score, threshold),
+        *_decision(F.col("champion"), F.col("combined_score"), threshold),
     )
 
 
+def decisions_by_timeline(
+    candidates: DataFrame, promotions: DataFrame, threshold: float = DEFAULT_THRESHOLD, champions: DataFrame | None = None
+) -> DataFrame:
+    """Decide every candidate by a known timeline of promotions (family, seq, combined_score), as a stream keeps it: an as-of join.
+
+    The rows of ``promotion_history``, if the promotions are those of all the candidates. Retirements (no score) are passed over. Rows are dealt by ranges of (family, seq), so a family with most of
+    the rows is spread; at most one promotion for each candidate is read.
+    """
+    score = F.col("combined_score").cast("double").alias("combined_score")
+    rows = _blocked(candidates.select("family", "seq", score), "seq")
+    blocks = rows.select("family", "block").distinct()
+    none = F.lit(None).cast("double").alias("entry")
+    entry = None if champions is None else pin(champions.select("family", score.alias("entry")))
+    blocks = pin(blocks.select("family", "block", none) if entry is None else blocks.join(entry, "family", "left"))
+    scored = promotions.filter("combined_score is not null")
+    promoted = scored.select("family", "seq", score.alias("promoted")).join(rows.select("family", "seq", "block"), ["family", "seq"])
+    return _decided(rows, blocks, pin(promoted.select("family", "block", "seq", "promoted")), threshold)
+
+
 def current_champions(history: DataFrame) -> DataFrame:
     """Latest promoted candidate of each family (the table that replaces the champion file)."""
     promoted = history.filter(F.col("decision") == "PROMOTED")

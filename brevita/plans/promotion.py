@@ -11,6 +11,7 @@ from brevita.plans.views import CANDIDATES, EVENTS, derived, duck
 from brevita.plans.jobs import promote
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
+from brevita.streaming.champions import champion_timeline, read_timeline, write_timeline
 from brevita.streaming.gate import gate_stream
 from brevita.streaming.logs import read_files
 
@@ -85,14 +86,32 @@ def champion_table(spark: SparkSession, sf: str) -> DataFrame:
 def stream_promotion(spark: SparkSession, sf: str) -> DataFrame:
     """The history as a stream; every decision it logged."""
     log_path, champions = fresh_dir(spark, "gate-log"), fresh_dir(spark, "gate-champions")
-    events = read_files(spark, f"{sf}/events.parquet", EVENTS)
-    rows = events.select(
+    gate_stream(_event_candidates(spark, sf), log_path, champions, fresh_dir(spark, "gate-checkpoint")).awaitTermination()
+    return spark.read.parquet(log_path).drop("version")
+
+
+def _event_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return read_files(spark, f"{sf}/events.parquet", EVENTS).select(
         F.col("event_type").alias("family"),
         F.col("event_id").alias("seq"),
         F.round(F.col("value") / 500, 6).alias("combined_score"),
     )
-    gate_stream(rows, log_path, champions, fresh_dir(spark, "gate-checkpoint")).awaitTermination()
-    return spark.read.parquet(log_path).drop("version")
+
+
+def _timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Promotions that a stream with champions in its state store has found."""
+    path = fresh_dir(spark, "timeline")
+    write_timeline(champion_timeline(_event_candidates(spark, sf)), path, fresh_dir(spark, "timeline-state")).awaitTermination()
+    return read_timeline(spark, path)
+
+
+def stream_champions(spark: SparkSession, sf: str) -> DataFrame:
+    """All decisions by the timeline that the keyed state has emitted."""
+    return gate.decisions_by_timeline(candidates(spark, sf), _timeline(spark, sf))
+
+
+def stream_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    return _timeline(spark, sf).drop("event")
 
 
 def promotion_chain(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,6 +152,8 @@ QUERIES = {
     "promotion_history": history,
     "champion_table": champion_table,
     "stream_promotion": stream_promotion,
+    "stream_champions": stream_champions,
+    "stream_timeline": stream_timeline,
 }
 
 
@@ -201,4 +222,6 @@ select 'champion', model, null, null, null, c, num_examples, null, r6 from round
     "champion_table": f"""{HISTORY} select family, max(seq) as seq, arg_max(combined_score, seq) as combined_score
 from history where decision = 'PROMOTED' group by family""",
     "stream_promotion": f"{HISTORY} select * from history",
+    "stream_champions": f"{HISTORY} select * from history",
+    "stream_timeline": f"{HISTORY} select family, seq, combined_score, champion_score from history where decision = 'PROMOTED'",
 }
