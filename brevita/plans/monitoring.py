@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.functions.templates import CHAT_ASSISTANT, CHAT_SYSTEM, CHAT_USER, INSTRUCTION
-from brevita.operators import logs, records
+from brevita.operators import logs, records, summaries
 from brevita.operators.generate import batch_generate as run_generator
 from brevita.plans.corpus import sql_text
 from brevita.plans.views import EVENTS, INFERENCE_LOGS, REQUESTS, derived, duck
-from brevita.session import fresh_dir
+from brevita.session import fresh_dir, pin
 from brevita.sources.records import append_logs
+from brevita.streaming.live import read_live, write_live
 from brevita.streaming.logs import ingest_logs, read_files, write_hourly_kpis
 
 MODEL_REPO = "models/summariser"
 MODEL_FILE = "weights.gguf"
 LONG_WORD = 7
+# Range of hours of the query over summaries.
+SINCE, UNTIL = "2024-01-03 05:00:00", "2024-01-24 17:00:00"
 
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,6 +153,36 @@ def stream_hourly_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return _hour_text(kpis.withColumns({c: F.round(c, 6) for c in ("avg_latency_ms", "success_pct")}))
 
 
+def _within(rows: DataFrame, kpis: DataFrame, name: str, q: float) -> DataFrame:
+    """(model_version, name_within): whether the share of latencies below the estimate, or up to it, reaches the wanted one within twice the stated error."""
+    estimate, x = F.col(name), F.col("latency_ms")
+    counted = rows.join(kpis.select(F.col("model_version").alias("m"), name), F.col("model_version").eqNullSafe(F.col("m")))
+    n, slack = F.count(x), 2 * summaries.RANK_ERROR
+    inside = (F.count_if(x < estimate) / n <= q + slack) & (F.count_if(x <= estimate) / n >= q - slack)
+    return counted.groupBy(F.col("model_version").alias("m")).agg(inside.alias(f"{name[:3]}_within"))
+
+
+def kpis_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """KPIs of a range of hours merged from kept summaries, and whether the estimated percentiles lie within the stated error of the exact ranks."""
+    path, rows = fresh_dir(spark, "summaries"), inference_logs(spark, sf)
+    even = F.col("request_id").cast("bigint") % 2 == 0
+    for run, part in (("even", rows.filter(even)), ("odd", rows.filter(~even)), ("even", rows.filter(even))):
+        summaries.write_summaries(summaries.hourly_summaries(part), path, run)
+    kpis = pin(summaries.merged_kpis(summaries.read_summaries(spark, path, SINCE, UNTIL), "model_version"))
+    ranged = rows.filter((F.col("timestamp_utc") >= F.lit(SINCE).cast("timestamp")) & (F.col("timestamp_utc") < F.lit(UNTIL).cast("timestamp")))
+    shown = kpis.drop(*logs.PERCENTILES)
+    for name, q in logs.PERCENTILES.items():
+        shown = shown.join(_within(ranged, kpis, name, q), F.col("model_version").eqNullSafe(F.col("m"))).drop("m")
+    return _rounded(shown)
+
+
+def stream_live_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests of every hour and model from the live table, open hours too, hours without requests as 0."""
+    path = fresh_dir(spark, "live")
+    write_live(_log_stream(spark, sf), path, fresh_dir(spark, "live-state"), refresh=None).awaitTermination()
+    return _hour_text(summaries.filled_hours(read_live(spark, path)))
+
+
 QUERIES = {
     "request_validation": request_validation,
     "inference_prompt": inference_prompt,
@@ -164,6 +197,8 @@ QUERIES = {
     "requests_by_hour": requests_by_hour,
     "stream_log_ingest": stream_log_ingest,
     "stream_hourly_kpis": stream_hourly_kpis,
+    "kpis_from_summaries": kpis_from_summaries,
+    "stream_live_hours": stream_live_hours,
 }
 
 
@@ -220,6 +255,15 @@ from recent""",
   from logs group by 1),
 hours as (select unnest(generate_series(min(h), max(h), interval 1 hour)) as h from counts)
 select {TIME.format('hours.h')} as hour, coalesce(n, 0) as requests from hours left join counts on counts.h = hours.h""",
+    "kpis_from_summaries": f"""with {LOGS}
+select model_version, count(*) as requests, round(avg(latency_ms), 6) as avg_latency_ms, round(max(latency_ms), 6) as max_latency_ms,
+  round(avg(case when status = 'success' then 1.0 else 0.0 end) * 100, 6) as success_pct, true as p50_within, true as p95_within
+from logs where timestamp_utc >= timestamp '{SINCE}' and timestamp_utc < timestamp '{UNTIL}' group by model_version""",
+    "stream_live_hours": f"""with {LOGS},
+counts as (select model_version, date_trunc('hour', timestamp_utc) as h, count(*) as n from logs group by all),
+hours as (select model_version, unnest(generate_series(min(h), max(h), interval 1 hour)) as h from counts group by model_version)
+select {TIME.format('hours.h')} as hour, model_version, coalesce(n, 0) as requests
+from hours left join counts using (model_version, h)""",
     "stream_log_ingest": f"""with {LOGS} select {TIME.format('timestamp_utc')} as timestamp_utc,
   {LOG_LIST.replace('request_id', 'sha256(request_id) as request_id')} from logs""",
     "stream_hourly_kpis": f"""with {LOGS}
