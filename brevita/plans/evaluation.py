@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.functions.templates import JUDGE_PREDICTION, JUDGE_PROMPT, JUDGE_REFERENCE
-from brevita.operators import judge, rouge
+from brevita.operators import judge, resample, rouge
 from brevita.plans.corpus import sql_text
 from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck
-from brevita.session import fresh_dir
+from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
 from brevita.sources.tables import load_predictions
 
@@ -61,6 +61,22 @@ def rouge_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rouge.rouge_bootstrap(rouge.rouge_scores(reply_pairs(spark, sf))), CORPUS_DIGITS)
 
 
+def rouge_resample(spark: SparkSession, sf: str) -> DataFrame:
+    """Intervals by exact resampling; its random numbers have no SQL form."""
+    return _rounded(resample.bootstrap_interval(rouge.rouge_scores(reply_pairs(spark, sf))), CORPUS_DIGITS)
+
+
+def rouge_replicates(spark: SparkSession, sf: str) -> DataFrame:
+    """What is fixed about the replicates: how many there are, how many rows each draws, and that they spread around the mean."""
+    scores = pin(rouge.rouge_scores(reply_pairs(spark, sf)))
+    found = resample.resampled(scores).withColumn("x", F.col("rouge1") / F.col("draws"))
+    spread = found.groupBy("model").agg(
+        F.count("*").alias("replicates"), F.min("draws").alias("fewest"), F.max("draws").alias("most"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    mean = F.col("rouge1").between(F.col("low"), F.col("high")).alias("spread_around_mean")
+    return spread.join(rouge.rouge_corpus(scores), "model").select("model", "num_examples", "replicates", "fewest", "most", mean)
+
+
 def judge_raw(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, JUDGE_RAW)
 
@@ -143,6 +159,8 @@ QUERIES = {
     "rouge_stemmed": rouge_stemmed,
     "rouge_corpus": rouge_corpus,
     "rouge_bootstrap": rouge_bootstrap,
+    "rouge_resample": rouge_resample,
+    "rouge_replicates": rouge_replicates,
     "judge_sample": judge_sample,
     "judge_messages": judge_messages,
     "judge_parse": judge_parse,
@@ -268,6 +286,9 @@ judged as (select pairs.id, reference_summary, generated_summary, case when not
   from pairs left join parsed on parsed.id = pairs.id)"""
 
 ORACLE = {
+    "rouge_replicates": f"""with pairs as ({duck(REPLY_PAIRS)})
+select model, count(*) as num_examples, cast({rouge.REPLICATES} as bigint) as replicates, count(*) as fewest, count(*) as most,
+  true as spread_around_mean from pairs group by model""",
     "stored_predictions": f"select id, model, reference_summary, generated_summary from ({duck(REPLY_PAIRS)}) p",
     "judge_results_array": f"""with {JUDGED} select id, reference_summary, error,
   {", ".join(f"cast({c} as int) as {c}" for c in judge.CRITERIA)} from judged""",
