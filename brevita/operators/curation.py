@@ -11,8 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brevita.functions.fragments import FRAGMENTS, fragment_counts
 from brevita.functions.keys import document_id, pool_position, split_rank
 from brevita.functions.text import key_digest, near_dup_key, with_cleaned
+from brevita.functions.tokens import normalised
 from brevita.session import pin
 
 
@@ -57,6 +59,34 @@ def quality_filter(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter(is_valid(F.length("text"), F.length("summary")))
 
 
+def extractive_overlap(pairs: DataFrame) -> DataFrame:
+    """``pairs`` without ``text`` and ``summary``, with how far each summary is copied from its text.
+
+    text_tokens, summary_tokens; fragments (greedy longest runs that the text has, too), covered (the summary's tokens in them), longest; coverage =
+    covered / summary_tokens, density = sum of squared fragment lengths / summary_tokens, jaccard of the two sets of words. Tokens are lowercase runs of
+    ``[a-z0-9]``. A side that is null or has no tokens has coverage, density and jaccard 0. Map-only.
+    """
+    kept = [c for c in pairs.columns if c not in ("text", "summary")]
+    counted = pairs.select(*kept, fragment_counts(normalised(F.col("text")), normalised(F.col("summary"))).alias("_n"))
+    n = {c: F.col(f"_n.{c}") for c in FRAGMENTS.names}
+    share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(0.0)
+    return counted.select(
+        *kept,
+        *[n[c].alias(c) for c in ("text_tokens", "summary_tokens", "fragments", "covered", "longest")],
+        share(n["covered"], n["summary_tokens"]).alias("coverage"),
+        share(n["squares"], n["summary_tokens"]).alias("density"),
+        share(n["shared_words"], n["all_words"]).alias("jaccard"),
+    )
+
+
+def abstractive_filter(cleaned: DataFrame, most_density: float, most_coverage: float = 1.0) -> DataFrame:
+    """Pairs whose summary is not copied in long runs: density and coverage up to the bounds. Texts stay in place: the figures are of the row itself."""
+    n = fragment_counts(normalised(F.col("text")), normalised(F.col("summary")))
+    held = cleaned.withColumn("_n", n)
+    tokens = F.greatest(F.col("_n.summary_tokens"), F.lit(1))
+    return held.filter((F.col("_n.squares") / tokens <= most_density) & (F.col("_n.covered") / tokens <= most_coverage)).drop("_n")
+
+
 def length_filter(cleaned: DataFrame, band: LengthBand = LengthBand()) -> DataFrame:
     return cleaned.filter(band.holds(F.length("text"), F.length("summary")))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.functions.templates import JUDGE_PREDICTION, JUDGE_PROMPT, JUDGE_REFERENCE
-from brevita.operators import judge, resample, rouge
+from brevita.operators import curation, judge, resample, rouge
 from brevita.plans.corpus import sql_text
 from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck
 from brevita.session import fresh_dir, pin
@@ -61,6 +61,12 @@ def rouge_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rouge.rouge_bootstrap(rouge.rouge_scores(reply_pairs(spark, sf))), CORPUS_DIGITS)
 
 
+def extractive_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """How far each document's stand-in summary is copied from it: whole texts on both sides."""
+    pairs = document_pairs(spark, sf).withColumnsRenamed({"reference_summary": "text", "generated_summary": "summary"})
+    return _rounded(curation.extractive_overlap(pairs))
+
+
 def rouge_resample(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals by exact resampling; its random numbers have no SQL form."""
     return _rounded(resample.bootstrap_interval(rouge.rouge_scores(reply_pairs(spark, sf))), CORPUS_DIGITS)
@@ -159,6 +165,7 @@ QUERIES = {
     "rouge_stemmed": rouge_stemmed,
     "rouge_corpus": rouge_corpus,
     "rouge_bootstrap": rouge_bootstrap,
+    "extractive_overlap": extractive_overlap,
     "rouge_resample": rouge_resample,
     "rouge_replicates": rouge_replicates,
     "judge_sample": judge_sample,
@@ -285,7 +292,27 @@ judged as (select pairs.id, reference_summary, generated_summary, case when not
   {", ".join(f"json_extract_string(case when ok then t end, '$.{r}') as {r}" for r in judge.REASONS)}
   from pairs left join parsed on parsed.id = pairs.id)"""
 
+# Runs of equal tokens by diagonals, the longest at each place of the summary, then one recursion step for each fragment or lone token.
+FRAGMENTS = f"""with recursive {_pairs(DOCUMENT_PAIRS)},
+t as (select id, unnest(r) as w, unnest(range(1, len(r) + 1)) as j from toks),
+s as (select id, unnest(g) as w, unnest(range(1, len(g) + 1)) as i from toks),
+met as (select s.id, i, j, i - row_number() over (partition by s.id, i - j order by i) as run from s join t on s.id = t.id and s.w = t.w),
+runs as (select id, i, max(i) over (partition by id, i - j, run) - i + 1 as k from met),
+best as (select id, i, max(k) as k from runs group by id, i),
+steps as (select s.id, s.i, coalesce(k, 0) as k from s left join best using (id, i)),
+walk as (select * from steps where i = 1
+  union all select n.id, n.i, n.k from walk w join steps n on n.id = w.id and n.i = w.i + greatest(w.k, 1)),
+sums as (select id, count(*) filter (k > 0) as fragments, sum(k) as covered, sum(k * k) as squares, max(k) as longest from walk group by id),
+words as (select id, model, len(r) as nt, len(g) as ns, len(list_intersect(list_distinct(r), list_distinct(g))) as both_,
+  len(list_distinct(list_concat(r, g))) as every from toks)"""
+
 ORACLE = {
+    "extractive_overlap": f"""{FRAGMENTS}
+select id, model, nt as text_tokens, ns as summary_tokens, coalesce(fragments, 0) as fragments, cast(coalesce(covered, 0) as bigint) as covered,
+  cast(coalesce(longest, 0) as bigint) as longest, round(case when ns > 0 then coalesce(covered, 0) / cast(ns as double) else 0.0 end, {DIGITS}) as coverage,
+  round(case when ns > 0 then coalesce(squares, 0) / cast(ns as double) else 0.0 end, {DIGITS}) as density,
+  round(case when every > 0 then both_ / cast(every as double) else 0.0 end, {DIGITS}) as jaccard
+from words left join sums using (id)""",
     "rouge_replicates": f"""with pairs as ({duck(REPLY_PAIRS)})
 select model, count(*) as num_examples, cast({rouge.REPLICATES} as bigint) as replicates, count(*) as fewest, count(*) as most,
   true as spread_around_mean from pairs group by model""",
