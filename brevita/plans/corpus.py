@@ -10,6 +10,7 @@ from brevita.functions.text import near_dup_key, with_cleaned
 from brevita.operators import curation, records, sampling
 from brevita.plans.views import BILLS, bills_pool, bills_splits, duck
 from brevita.session import fresh_dir, pin
+from brevita.sources import published
 from brevita.sources import records as store
 from brevita.sources.tables import load_corpus, load_training_splits
 
@@ -169,6 +170,18 @@ def materialize_splits(spark: SparkSession, sf: str) -> DataFrame:
     return kept.groupBy("split").agg(F.count("*").alias("n")).withColumn("rebuilt", F.lit(rebuilt))
 
 
+def published_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions, each published twice, read by number and as the newest: rows by split, and what the second call wrote."""
+    path = fresh_dir(spark, "versions")
+    rows = pin(split_records(spark, sf).drop(*ID))
+    steps = [published.publish_version(part, path) for part in (rows, rows, rows.filter("split <> 'val'"), rows.filter("split <> 'val'"))]
+    shown = []
+    for name, number, again in (("first", steps[0].number, steps[1]), ("newest", None, steps[3])):
+        counted = published.read_published(spark, path, number).groupBy("split").agg(F.count("*").alias("n"))
+        shown.append(counted.select(F.lit(name).alias("version"), "split", "n", F.lit(again.wrote_files or again.wrote_pointer).alias("written_again")))
+    return shown[0].unionByName(shown[1])
+
+
 def training_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Chat texts of train and validation, from the published table because no local copy exists."""
     published = fresh_dir(spark, "published")
@@ -202,6 +215,7 @@ QUERIES = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "published_splits": published_splits,
     "materialize_splits": materialize_splits,
+    "published_versions": published_versions,
     "training_texts": training_texts,
 }
 
@@ -325,6 +339,10 @@ from labelled""",
     "published_splits": f"""with {SPLIT} select case split when 'val' then 'validation' else split end as split,
   src_rank, doc_id, '{INSTRUCTION}' as instruction, text as input, summary as output from labelled""",
     "materialize_splits": f"with {SPLIT} select split, count(*) as n, false as rebuilt from labelled group by split",
+    "published_versions": f"""with {SPLIT},
+counted as (select case split when 'val' then 'validation' else split end as split, count(*) as n from labelled group by 1)
+select 'first' as version, split, n, false as written_again from counted
+union all select 'newest', split, n, false from counted where split <> 'validation'""",
     "training_texts": f"""with {SPLIT} select case split when 'val' then 'validation' else split end as split,
   {CHAT} as text from labelled where split <> 'test'""",
 }

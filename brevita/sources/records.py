@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevita.session import delete
-from brevita.sources.files import exists, newest_version, version_folders
+from brevita.sources.files import exists, make_folder, newest_version, version_folders
 
 RECORD_SCHEMA = "instruction string, input string, output string"
 SPLITS = ("train", "val", "test")
@@ -60,10 +60,12 @@ def splits_complete(spark: SparkSession, path: str) -> bool:
 def ensure_splits(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False
 ) -> tuple[DataFrame, bool]:
-    """Records below ``path``, built only if a split is missing or ``force`` is set; and whether they were built."""
+    """Records below ``path``, built only if a split is missing or ``force`` is set; and whether they were built. A split without rows is an empty folder."""
     build_now = force or not splits_complete(spark, path)
     if build_now:
         write_jsonl(build(), path)
+        for s in SPLITS:
+            make_folder(spark, f"{path}/split={s}")
     return read_jsonl(spark, path, RECORD_SCHEMA + ", split string"), build_now
 
 
