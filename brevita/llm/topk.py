@@ -27,11 +27,13 @@ SAMPLE_ROWS = 4096
 GROUP_ROWS = 256
 CHUNK_BLOCKS = 512
 SALTS = 16
-LEAF = 64
-QUERY_LEAF = 4
+# Leaves are wide enough that a product of two of them outweighs the step that finds them.
+LEAF = 256
+QUERY_LEAF = 32
 FANOUT = 16
 BASE = 1.3
 _NO_ID = np.iinfo(np.int64).max
+EXACT = 2.0**53
 
 
 # --- trees, in tasks -------------------------------------------------------------------------------------------------------
@@ -39,13 +41,16 @@ _NO_ID = np.iinfo(np.int64).max
 
 @dataclass
 class Node:
-    """A set of points (places in the matrix) around a centre, with the radius that covers them."""
+    """A set of points (places in the matrix) around a centre, with the radius that covers them, and its children with their figures side by side."""
 
     points: np.ndarray
     centre: np.ndarray
     radius: float
     norm: float
     children: list[Node]
+    centres: np.ndarray | None = None
+    radii: np.ndarray | None = None
+    norms: np.ndarray | None = None
 
 
 def _node(x: np.ndarray, points: np.ndarray, centre: np.ndarray) -> Node:
@@ -83,13 +88,20 @@ def cover_tree(x: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT, base: floa
         if len(centres) > 1:
             parts = [node.points[nearest == i] for i in range(len(centres))]
             node.children = [_node(x, p, own[c]) for p, c in zip(parts, centres, strict=True)]
+            node.centres = np.array([c.centre for c in node.children])
+            node.radii, node.norms = np.array([c.radius for c in node.children]), np.array([c.norm for c in node.children])
             open_ += node.children
     return root
 
 
+def _bound(q: Node, centre: np.ndarray, radius, norm):
+    """Most that an inner product of a point of ``q`` with one of a node, or of each of several, can be."""
+    bound = centre @ q.centre + q.radius * norm + radius * (q.norm + q.radius)
+    return bound + 1e-9 * np.abs(bound) + 1e-3  # more than rounding can take away
+
+
 def upper_bound(q: Node, x: Node) -> float:
-    bound = float(q.centre @ x.centre) + q.radius * x.norm + x.radius * q.norm + q.radius * x.radius
-    return bound + 1e-9 * abs(bound) + 1e-3  # more than rounding can take away
+    return float(_bound(q, x.centre, x.radius, x.norm))
 
 
 class Search:
@@ -104,32 +116,47 @@ class Search:
         self.tree = cover_tree(self.q, leaf=QUERY_LEAF)
 
     def run(self, data: np.ndarray, data_ids: np.ndarray, tree: Node) -> None:
-        stack = [(self.tree, tree)]
+        stack = [(self.tree, tree, upper_bound(self.tree, tree))]
         while stack:
-            q, x = stack.pop()
-            if upper_bound(q, x) < self.worst[q.points].min():
+            q, x, bound = stack.pop()
+            if bound < self.worst[q.points].min():
                 continue
             if x.children and (len(x.points) >= len(q.points) or not q.children):
-                # The most promising on top.
-                stack += sorted(((q, c) for c in x.children), key=lambda p: upper_bound(*p))
+                bounds = _bound(q, x.centres, x.radii, x.norms)
+                # The most promising on top; what cannot reach the worst kth score stays away.
+                order = np.argsort(bounds)
+                order = order[bounds[order] >= self.worst[q.points].min()]
+                stack += [(q, x.children[i], bounds[i]) for i in order.tolist()]
             elif q.children:
-                stack += [(c, x) for c in q.children]
+                stack += [(c, x, bound) for c in q.children]
             else:
                 self._leaf(q.points, x.points, data, data_ids)
 
     def _leaf(self, qs: np.ndarray, xs: np.ndarray, data: np.ndarray, data_ids: np.ndarray) -> None:
-        scores = self.q[qs] @ data[xs].T
-        ids = np.broadcast_to(data_ids[xs], scores.shape)
-        usable = (ids != self.ids[qs][:, None]) & (scores >= self.worst[qs][:, None])
-        for row in np.flatnonzero(usable.any(axis=1)):
-            at, take = qs[row], usable[row]
-            s = np.concatenate([self.scores[at][self.filled[at]], scores[row][take]])
-            i = np.concatenate([self.found[at][self.filled[at]], ids[row][take]])
-            order = np.lexsort((i, -s))[: self.k]
-            n = len(order)
-            self.scores[at, :n], self.found[at, :n], self.filled[at, :n] = s[order], i[order], True
-            if n == self.k:
-                self.worst[at] = max(self.worst[at], s[order[-1]])
+        """Scores of all pairs at once; those that may be among the best of their query join the ones held."""
+        scores, ids = self.q[qs] @ data[xs].T, data_ids[xs]
+        scores[ids[None, :] == self.ids[qs][:, None]] = -np.inf
+        enough = self.worst[qs]
+        if len(xs) > self.k:
+            # No score below the kth of this leaf alone counts.
+            enough = np.maximum(enough, np.partition(scores, len(xs) - self.k, axis=1)[:, len(xs) - self.k])
+        row, column = np.nonzero((scores >= enough[:, None]) & (scores > -np.inf))
+        if not len(row):
+            return
+        old_row, old_place = np.nonzero(self.filled[qs])
+        rows = np.concatenate([old_row, row])
+        s = np.concatenate([self.scores[qs][old_row, old_place], scores[row, column]])
+        i = np.concatenate([self.found[qs][old_row, old_place], ids[column]])
+        order = np.lexsort((i, -s, rows))
+        rows, s, i = rows[order], s[order], i[order]
+        first = np.searchsorted(rows, np.arange(len(qs)))
+        place = np.arange(len(rows)) - first[rows]
+        best = place < self.k
+        rows, place, s, i = rows[best], place[best], s[best], i[best]
+        at = qs[rows]
+        self.scores[at, place], self.found[at, place], self.filled[at, place] = s, i, True
+        full = place == self.k - 1
+        self.worst[at[full]] = np.maximum(self.worst[at[full]], s[full])
 
 
 def _matrix(cells: list[bytes]) -> np.ndarray:
@@ -257,13 +284,16 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` rows of the largest integer inner product for each query: query_id, query_hash, rank (from 1), vec_id, score.
 
-    ``vectors``: vec_id (integer) and ``q``, an array of longs, null rows left out; inner products must stay below 2^53. ``is_query`` is a condition on
+    ``vectors``: vec_id (integer) and ``q``, an array of longs, null rows left out; vectors whose squared length reaches 2^53 are refused, since inner products may. ``is_query`` is a condition on
     vec_id. Only vectors of one dimension are compared. Ties go to the smaller vec_id, null last. Rows with the query's own vec_id are not its
     candidates; other rows are candidates once each, repeated or not. A null vec_id is no query. Rows of one id and equal vectors are one query, of
     different vectors several, told apart by query_hash. Fewer than ``k`` candidates give fewer rows; an empty table none.
     """
     vectors = vectors.filter(F.col("q").isNotNull())
-    total = vectors.count()
+    size = F.aggregate("q", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    total, longest = vectors.agg(F.count("*"), F.max(size)).first()
+    if longest is not None and longest >= EXACT:
+        raise ValueError("inner products of these vectors can reach 2^53, beyond which doubles are not exact")
     centres = _pivots(vectors, sample, max(1, min(pivots, -(-total // block_rows))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

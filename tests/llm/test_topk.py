@@ -96,3 +96,9 @@ def test_pruning_saves_leaves(monkeypatch):
     search = topk.Search(x[:80], np.arange(80), np.full(80, -np.inf), 10)
     search.run(x, np.arange(8000), topk.cover_tree(x))
     assert sum(seen) < 0.5 * 80 * 8000
+
+
+def test_vectors_beyond_exact_products_are_refused(spark):
+    df = spark.createDataFrame([(1, [2**27, 1]), (2, [1, 1])], "vec_id bigint, q array<bigint>")
+    with pytest.raises(ValueError, match="2\\^53"):
+        topk.top_k(df, F.col("vec_id") == 1)
