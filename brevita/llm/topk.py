@@ -28,9 +28,9 @@ GROUP_ROWS = 256
 CHUNK_BLOCKS = 512
 SALTS = 16
 # Leaves are wide enough that a product of two of them outweighs the step that finds them.
-LEAF = 256
-QUERY_LEAF = 32
-FANOUT = 16
+LEAF = 64
+QUERY_LEAF = 8
+FANOUT = 64
 BASE = 1.3
 _NO_ID = np.iinfo(np.int64).max
 EXACT = 2.0**53
@@ -73,8 +73,11 @@ def farthest_first(x: np.ndarray, first: int, most: int, enough: float) -> tuple
 
 
 def cover_tree(x: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT, base: float = BASE) -> Node:
-    """Cover tree over the rows of ``x`` (at least one). Children cover their points within the parent's radius over ``base``, or as near to
-    it as ``fanout`` centres come; the radii kept are the true ones."""
+    """Cover tree over the rows of ``x`` (at least one). Children cover their points within the parent's radius over ``base``; the radii kept are the true ones.
+
+    Where ``fanout`` centres do not cover that closely, as in many dimensions without clusters, children would bound hardly better than their parent: such a node
+    stays a leaf, whatever its size, and its scores are taken in one product.
+    """
     middle = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
     root = _node(x, np.arange(len(x)), x[middle])
     open_ = [root]
@@ -85,12 +88,13 @@ def cover_tree(x: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT, base: floa
         own = x[node.points]
         first = int(((own - node.centre) ** 2).sum(axis=1).argmin())
         centres, nearest = farthest_first(own, first, fanout, node.radius / base)
-        if len(centres) > 1:
-            parts = [node.points[nearest == i] for i in range(len(centres))]
-            node.children = [_node(x, p, own[c]) for p, c in zip(parts, centres, strict=True)]
-            node.centres = np.array([c.centre for c in node.children])
-            node.radii, node.norms = np.array([c.radius for c in node.children]), np.array([c.norm for c in node.children])
-            open_ += node.children
+        parts = [node.points[nearest == i] for i in range(len(centres))]
+        children = [_node(x, p, own[c]) for p, c in zip(parts, centres, strict=True)]
+        if len(children) > 1 and max(c.radius for c in children) <= node.radius / base:
+            node.children = children
+            node.centres = np.array([c.centre for c in children])
+            node.radii, node.norms = np.array([c.radius for c in children]), np.array([c.norm for c in children])
+            open_ += children
     return root
 
 
@@ -113,6 +117,7 @@ class Search:
         self.scores = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), _NO_ID, np.int64)
         self.filled = np.zeros((len(queries), k), bool)
+        self.length = np.sqrt((queries**2).sum(axis=1))
         self.tree = cover_tree(self.q, leaf=QUERY_LEAF)
 
     def run(self, data: np.ndarray, data_ids: np.ndarray, tree: Node) -> None:
@@ -130,7 +135,11 @@ class Search:
             elif q.children:
                 stack += [(c, x, bound) for c in q.children]
             else:
-                self._leaf(q.points, x.points, data, data_ids)
+                # Each query by itself: its product with the centre, and the leaf's radius times its length.
+                own = self.q[q.points] @ x.centre + self.length[q.points] * x.radius
+                near = q.points[own + 1e-9 * np.abs(own) + 1e-3 >= self.worst[q.points]]
+                if len(near):
+                    self._leaf(near, x.points, data, data_ids)
 
     def _leaf(self, qs: np.ndarray, xs: np.ndarray, data: np.ndarray, data_ids: np.ndarray) -> None:
         """Scores of all pairs at once; those that may be among the best of their query join the ones held."""
