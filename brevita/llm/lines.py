@@ -1,13 +1,12 @@
-"""Line dedup, over passages of two or more lines or over content-defined chunks.
+"""Line dedup over content-defined chunks of lines.
 
-Passages: the hash of two neighbouring lines rolls over every line, so each shared run of two or more lines is found whole, wherever it
-starts and ends.
+A hash rolls over the hashes of neighbouring lines and chooses where a segment of lines ends, so the segments of a shared passage come out alike wherever
+it stands in a text. A chunk is two neighbouring segments, hence at least two lines, and chunks overlap by a segment: a passage loses no more than the
+partial segments at its two ends. Chunks that occur before, in the whole corpus, are removed, after their bytes have been compared with those of
+the first occurrence. Native expressions only.
 
-Chunks: the same hash decides where a chunk ends, so chunks of a shared passage come out alike wherever it stands in a text; what
-stands between two ends is found, passages without two ends are not.
-
-What occurs before, in the whole corpus, is removed, after its bytes have been compared with those of the first occurrence. Native
-expressions only.
+With ``divisor`` 1 the hash lets a segment end behind every line. Any coarser rule misses passages: whether a passage of two lines has a boundary at
+its start depends on the line before it, so only chunks of every two neighbouring lines find all of them.
 """
 
 from __future__ import annotations
@@ -18,17 +17,19 @@ from pyspark.sql import functions as F
 from brevita.llm.common import let
 from brevita.session import pin
 
-# A chunk ends behind one line in four on average.
-DIVISOR = 4
-BLOCK = 256
+# A segment ends behind one line in so many on average.
+DIVISOR = 1
 
 
-def chunks(text: Column, divisor: int = DIVISOR) -> Column:
-    """The text's chunks as an array of strings with their lines joined by a line feed; null has none.
+def segments(text: Column, divisor: int = DIVISOR) -> Column:
+    """The text's segments as an array of strings with their lines joined by a line feed; null has none.
 
-    A chunk ends behind a line if the hash over the hashes of this line and the one before is divisible by ``divisor``, and at the end.
+    A segment ends behind a line if the hash over the hashes of this line and the one before is divisible by ``divisor``, and at the end.
     """
 
+    if divisor == 1:  # every hash is divisible
+        return F.split(text, "\n", -1)
+
     def ends(lines: Column) -> Column:
         # The hash before the first line is that of no line.
         hashed = F.transform(lines, lambda x: F.xxhash64(x))
@@ -69,76 +70,8 @@ def _same(left: str, right: str) -> Column:
     return F.col(f"{left}1").eqNullSafe(F.col(f"{right}1")) & F.col(f"{left}2").eqNullSafe(F.col(f"{right}2"))
 
 
-def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines: int = 2) -> DataFrame:
-    """``docs`` with ``text`` cut by chunks of ``least_lines`` or more lines that occur earlier, and two more columns:
-    ``_n_lines`` of the input and ``_n_removed``, the lines cut.
-
-    Reads ``doc_id`` and ``text``; all other columns pass, whatever their names. Lines end at a line feed. The first occurrence, by doc_id,
-    then a hash of the text, then place, stays; a null doc_id comes last. So rows of one id with different texts are
-    documents of their own, and rows equal in id and text are one document that keeps what it has. A null text stays null with 0 lines,
-    an empty one is one empty line. Chunks of one line, or of white space, stay. A text that is nothing but repeats becomes empty. An empty table
-    gives an empty result.
-
-    Hashes find the candidates; a chunk goes only if its bytes equal those of the first occurrence.
-    """
-    keyed = docs.select(*_keys(F.col("doc_id"), F.col("text")), "text")
-    pieces = F.posexplode(chunks(F.col("text"), divisor)).alias("at", "chunk")
-    long = (line_count(F.col("chunk")) >= least_lines) & F.col("chunk").rlike(r"\S")
-    digest = [F.xxhash64("chunk").alias("hash"), F.octet_length("chunk").alias("bytes")]
-
-    # Narrow: where each chunk stands. An order of fixed-width columns, nulls last, as one struct.
-    places = pin(keyed.select("k1", "k2", pieces).filter(long).select("k1", "k2", "at", *digest))
-    place = F.struct(F.col("k1").isNull().alias("no"), "k1", "k2", "at")
-    first = (
-        places.groupBy("hash", "bytes")
-        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("hash", "bytes", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"), F.col("first.at").alias("f_at"))
-    )
-    first = pin(first)
-    others = (
-        places.join(first, ["hash", "bytes"])
-        .filter(~(_same("k", "f") & (F.col("at") == F.col("f_at"))))
-        .select("hash", "bytes", "k1", "k2", "at")
-        .distinct()
-    )
-    # Texts meet their narrow side by a sort on both keys at every size: no side grows into a plan that small tables did not have.
-    # Bytes of the first occurrences: texts that hold one, cut again at the places wanted.
-    wanted = first.groupBy("f1", "f2").agg(F.collect_list(F.struct("f_at", "hash", "bytes")).alias("wanted"))
-    sources = (
-        keyed.join(wanted.hint("merge"), _same("k", "f"))
-        .select(F.explode(_picked(chunks(F.col("text"), divisor), F.col("wanted"))).alias("p"))
-        .select("p.hash", "p.bytes", "p.chunk")
-        .groupBy("hash", "bytes")
-        .agg(F.first("chunk").alias("chunk"))
-    )
-    gone = (
-        others.join(sources, ["hash", "bytes"])
-        .groupBy(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
-        .agg(F.collect_list(_placed(F.col("at"), F.col("chunk"))).alias("_gone"))
-    )
-    names = docs.columns
-    rows = docs.select(F.struct(*names).alias("_row"), *_keys(F.col("doc_id"), F.col("text")))
-    matched = rows.join(pin(gone).hint("merge"), _same("k", "g"), "left")
-    # As strings, for which array_except works with a hash set: linear also for texts of very many chunks.
-    parts = F.transform(chunks(F.col("_row.text"), divisor), lambda c, i: _placed(i, c))
-    left_over = F.transform(F.array_except(parts, F.col("_gone")), lambda x: F.substr(x, F.instr(x, ":") + 1))
-    cut = F.when(F.col("_gone").isNotNull(), left_over)
-    text = F.when(F.col("_cut").isNull(), F.col("_row.text")).otherwise(
-        F.array_join("_cut", "\n")
-    )
-    lines = F.coalesce(line_count(F.col("_row.text")), F.lit(0)).cast("bigint")
-    left = F.aggregate("_cut", F.lit(0).cast("bigint"), lambda n, x: n + line_count(x))
-    removed = F.when(F.col("_cut").isNull(), F.lit(0)).otherwise(lines - left).cast("bigint")
-    return matched.withColumn("_cut", cut).select(
-        *[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in names],
-        lines.alias("_n_lines"),
-        removed.alias("_n_removed"),
-    )
-
-
-def _pairs(text: Column) -> Column:
-    """(at, hash, bytes) of each two neighbouring lines that are not both white space; null and single lines have none."""
+def _chunks(text: Column, divisor: int) -> Column:
+    """(at, hash, bytes) of each two neighbouring segments that are not both white space; null and single segments have none."""
 
     def of(lines: Column) -> Column:
         def pair(x: Column, i: Column) -> Column:
@@ -150,28 +83,31 @@ def _pairs(text: Column) -> Column:
 
         return F.filter(F.transform(F.slice(lines, 1, F.size(lines) - 1), pair), lambda x: x.isNotNull())
 
-    return let(F.split(text, "\n", -1), of)
+    return let(segments(text, divisor), of)
 
 
-def _pair_at(lines: Column, at: Column) -> Column:
+def _chunk_at(lines: Column, at: Column) -> Column:
     return F.concat(F.get(lines, at), F.lit("\n"), F.get(lines, at + 1))
 
 
-def remove_repeated_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` cut by every passage of two or more lines that occurs earlier, and two more columns:
-    ``_n_lines`` of the input and ``_n_removed``, the lines cut.
+def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """``docs`` with ``text`` cut by every chunk that occurs earlier, and two more columns: ``_n_lines`` of the input and ``_n_removed``, the lines cut.
 
-    A line goes if it and a neighbour also stand next to each other, in this order, at an earlier place: an earlier document or an earlier line of
-    this one. All places are judged on the input. So each run of two or more lines that an earlier document holds goes whole, and a
-    copy of several lines becomes empty. Where a line follows itself, a repeat does not cut the lines of its own first occurrence. Single
-    lines, and passages of white space, stay.
+    A segment goes if it and a neighbour also stand next to each other, in this order, at an earlier place: an earlier document or an earlier line of
+    this one. All places are judged on the input. With ``divisor`` 1 each run of two or more lines that an earlier document holds goes whole, and a
+    copy of several lines becomes empty; a larger one cuts fewer, longer chunks. Where a segment follows itself, a repeat does not cut the segments of its
+    own first occurrence. Single lines, and passages of white space, stay.
 
-    Reads ``doc_id`` and ``text``; columns, order, nulls, empty texts, repeated rows and empty tables are as in ``remove_repeated_chunks``.
-    Hashes find the candidates; a pair of lines goes only if its bytes equal those of the first occurrence.
+    Reads ``doc_id`` and ``text``; all other columns pass, whatever their names. Lines end at a line feed. The first occurrence, by doc_id, then a hash of the
+    text, then place, stays; a null doc_id comes last. So rows of one id with different texts are documents of their own, and rows equal in id and text are
+    one document that keeps what it has. A null text stays null with 0 lines, an empty one is one empty line. A text that is nothing but repeats becomes
+    empty. A very long text is one value of its task. An empty table gives an empty result.
+
+    Hashes find the candidates; a chunk goes only if its bytes equal those of the first occurrence.
     """
     keyed = docs.select(*_keys(F.col("doc_id"), F.col("text")), "text")
-    # Narrow: where each pair stands. Only pairs whose hash repeats are ordered.
-    places = pin(keyed.select("k1", "k2", F.explode(_pairs(F.col("text"))).alias("p")).select("k1", "k2", "p.*"))
+    # Narrow: where each chunk stands. Only chunks whose hash repeats are ordered.
+    places = pin(keyed.select("k1", "k2", F.explode(_chunks(F.col("text"), divisor)).alias("p")).select("k1", "k2", "p.*"))
     twice = pin(places.groupBy("hash", "bytes").agg(F.count("*").alias("n")).filter("n > 1").select("hash", "bytes"))
     held = pin(places.join(twice, ["hash", "bytes"]))
     place = F.struct(F.col("k1").isNull().alias("no"), "k1", "k2", "at")
@@ -193,53 +129,40 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     def pick(lines: Column) -> Column:
         return F.transform(
             F.col("wanted"),
-            lambda w: F.struct(w["hash"].alias("hash"), w["bytes"].alias("bytes"), _pair_at(lines, w["f_at"]).alias("pair")),
+            lambda w: F.struct(w["hash"].alias("hash"), w["bytes"].alias("bytes"), _chunk_at(lines, w["f_at"]).alias("chunk")),
         )
 
     sources = (
         keyed.join(wanted.hint("merge"), _same("k", "f"))
-        .select(F.explode(let(F.split("text", "\n", -1), pick)).alias("p"))
+        .select(F.explode(let(segments(F.col("text"), divisor), pick)).alias("p"))
         .select("p.*")
         .groupBy("hash", "bytes")
-        .agg(F.first("pair").alias("pair"))
+        .agg(F.first("chunk").alias("chunk"))
     )
     gone = (
         others.join(sources, ["hash", "bytes"])
         .groupBy(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
-        .agg(F.collect_list(F.struct("at", "overlaps", "pair")).alias("_gone"))
+        .agg(F.collect_list(F.struct("at", "overlaps", "chunk")).alias("_gone"))
     )
     names = docs.columns
     rows = docs.select(F.struct(*names).alias("_row"), *_keys(F.col("doc_id"), F.col("text")))
     matched = rows.join(pin(gone).hint("merge"), _same("k", "g"), "left")
 
     def left_over(lines: Column) -> Column:
-        equal = F.filter("_gone", lambda g: _pair_at(lines, g["at"]) == g["pair"])
+        equal = F.filter("_gone", lambda g: _chunk_at(lines, g["at"]) == g["chunk"])
         cut = F.flatten(
             F.transform(equal, lambda g: F.when(g["overlaps"], F.array(g["at"] + 1)).otherwise(F.array(g["at"], g["at"] + 1)))
         )
         return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut), lambda i: F.get(lines, i))
 
     lines = F.coalesce(line_count(F.col("_row.text")), F.lit(0)).cast("bigint")
+    left = F.aggregate("_left", F.lit(0).cast("bigint"), lambda n, x: n + line_count(x))
     uncut = F.col("_left").isNull()
-    return matched.withColumn("_left", F.when(F.col("_gone").isNotNull(), let(F.split("_row.text", "\n", -1), left_over))).select(
+    return matched.withColumn("_left", F.when(F.col("_gone").isNotNull(), let(segments(F.col("_row.text"), divisor), left_over))).select(
         *[
             (F.when(uncut, F.col("_row.text")).otherwise(F.array_join("_left", "\n")) if c == "text" else F.col(f"_row.`{c}`")).alias(c)
             for c in names
         ],
         lines.alias("_n_lines"),
-        F.when(uncut, F.lit(0)).otherwise(lines - F.size("_left")).cast("bigint").alias("_n_removed"),
-    )
-
-
-def _placed(at: Column, chunk: Column) -> Column:
-    return F.concat(at.cast("string"), F.lit(":"), chunk)
-
-
-def _picked(pieces: Column, wanted: Column) -> Column:
-    """The chunks at the wanted places, with hash and bytes."""
-    return let(
-        pieces,
-        lambda p: F.transform(
-            wanted, lambda w: F.struct(w["hash"].alias("hash"), w["bytes"].alias("bytes"), F.get(p, w["f_at"]).alias("chunk"))
-        ),
+        F.when(uncut, F.lit(0)).otherwise(lines - left).cast("bigint").alias("_n_removed"),
     )

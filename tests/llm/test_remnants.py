@@ -20,18 +20,3 @@ def test_one_of_equal_texts_comes_out(spark, small, tmp_path):
     assert [r.doc_id for r in out if r["size"] == 0 and (texts[r.doc_id] or "").split()] == []
     # What comes out for a text is its first document.
     assert all(r.doc_id == min(i for i, t in texts.items() if t == texts[r.doc_id]) for r in out)
-
-
-def test_remnants_by_rule(spark):
-    rows = [
-        (1, "a b\nc", 5), (2, "a b\nc", 5), (3, "a b\nc", 9), (4, "d\ne", 3), (5, "d\ne", 4), (6, " ", 1), (7, "g", 1), (7, "a b\nc", 5),
-        (8, "d\ne", 3), (9, None, None), (None, "a b\nc", 5),
-    ]
-    documents = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
-    # 1 is no longer there; 4 is gone, but 5 has n_chars of its own; 99 is not in the table.
-    left = [(2, "c", 1), (3, "a b", 3), (5, "e", 1), (6, " ", 1), (7, "g", 1), (8, "d", 1), (9, None, None), (None, "c", 1), (99, "", 0)]
-    docs = spark.createDataFrame(left, documents.schema)
-    got = sorted(r.doc_id for r in pipeline.without_remnants(docs, documents).collect())
-    assert got == [5, 6, 7, 9, 99]
-    docs = spark.createDataFrame([(1, "", 0), (4, " \n", 2), (6, "", 0), (7, "", 0), (9, None, None)], documents.schema)
-    assert sorted(r.doc_id for r in pipeline.without_remnants(docs, documents).collect()) == [6, 9]
