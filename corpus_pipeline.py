@@ -23,12 +23,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, keep=docs.columns).filter(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
+def _has_words() -> Column:
+    return F.coalesce("text", F.lit("")).rlike(WORD)
+
+
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks of lines that occur before; ``n_chars`` is that of the new text."""
+    """Texts without the passages of two or more lines that occur before; ``n_chars`` is that of the new text. Texts that had words and have none left go;
+    those that never had any stay."""
     prepare(spark)
     cut = lines.remove_repeated_chunks(docs)
     chars = F.when(F.col("_n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", chars).select(docs.columns)
+    # Only passages with words are cut, so a cut text had some.
+    return cut.filter((F.col("_n_removed") == 0) | _has_words()).withColumn("n_chars", chars).select(docs.columns)
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,47 +68,10 @@ def keep_clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return found.filter("n_hit = 0").select("row.*")
 
 
-def _has_words() -> Column:
-    return F.coalesce("text", F.lit("")).rlike(WORD)
-
-
-def without_remnants(docs: DataFrame, documents: DataFrame) -> DataFrame:
-    """``docs`` without what line dedup left of repeated texts, judged by the whole texts that ``documents`` has under the ids.
-
-    Of equal texts with words the smallest id stays, if it is in ``docs``; the ids after it go, also if it fell out at a later stage than
-    quality, since equal texts of equal n_chars have equal scores. Blank texts go if they had words. An id that has several whole texts goes if this
-    holds for each of them, since a cut text does not say which it was. An id that ``documents`` lacks stays. Null ids come last.
-    """
-    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    whole = pin(documents.select("doc_id", "n_chars", F.when(_has_words(), digest).alias("same")))
-    twice = whole.filter("same is not null").groupBy("same").agg(F.count("*").alias("n")).filter("n > 1").select("same")
-    equal = pin(whole.join(twice, "same"))
-    there = docs.select("doc_id").distinct()
-    # An equal text that passed quality as well, or one that is still there.
-    scored = equal.groupBy(F.col("same").alias("_same"), F.col("n_chars").alias("_chars")).agg(F.min("doc_id").alias("scored"))
-    present = equal.join(there, "doc_id").groupBy("same").agg(F.min("doc_id").alias("present"))
-    first = F.least("scored", "present")
-    later = (
-        equal.join(pin(scored), (F.col("same") == F.col("_same")) & F.col("n_chars").eqNullSafe(F.col("_chars")))
-        .join(pin(present), "same", "left")
-        .filter(first.isNotNull() & (F.col("doc_id").isNull() | (first < F.col("doc_id"))))
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.count("*").alias("n_later"))
-    )
-    of_id = F.col("doc_id").eqNullSafe(F.col("_doc"))
-    copies = whole.join(pin(later), of_id).groupBy("_doc", "n_later").agg(F.count("*").alias("n")).filter("n = n_later").select("_doc")
-    blank = docs.filter(~_has_words()).select(F.col("doc_id").alias("_doc")).distinct()
-    emptied = whole.join(pin(blank), of_id).groupBy("_doc").agg(F.min(F.col("same").isNotNull()).alias("had")).filter("had").select("_doc")
-    return docs.join(pin(copies), of_id, "left_anti").join(pin(emptied), of_id & ~_has_words(), "left_anti")
-
-
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the number of copies: doc_id, source, size, source_size, target, copies, taken.
-
-    Remnants of exact copies and emptied texts are left out first.
-    """
-    whole = without_remnants(docs, table(prepare(spark), sf_dir, "documents"))
-    return mixing.mix(whole).filter("copies > 0")
+    """The documents that the mix takes, with the number of copies: doc_id, source, size, source_size, target, copies, taken."""
+    prepare(spark)
+    return mixing.mix(docs).filter("copies > 0")
 
 
 STAGES = [
