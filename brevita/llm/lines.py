@@ -19,6 +19,9 @@ from brevita.session import pin
 
 # A segment ends behind one line in so many on average.
 DIVISOR = 1
+# Chunks of more than one row in so many, and of up to so many bytes, are joined without a shuffle of their rows.
+HOT_CHUNKS = 1000
+HOT_BYTES = 1 << 16
 
 
 def segments(text: Column, divisor: int = DIVISOR) -> Column:
@@ -90,6 +93,13 @@ def _chunk_at(lines: Column, at: Column) -> Column:
     return F.concat(F.get(lines, at), F.lit("\n"), F.get(lines, at + 1))
 
 
+def _met(many: DataFrame, few: DataFrame, hot: DataFrame) -> DataFrame:
+    """``many`` joined with ``few``, which has one row for a chunk. Rows of hot chunks stay where they are; the others meet by a shuffle."""
+    chunk = ["hash", "bytes"]
+    there = many.join(F.broadcast(few.join(F.broadcast(hot), chunk, "left_semi")), chunk)
+    return there.unionByName(many.join(F.broadcast(hot), chunk, "left_anti").join(few, chunk))
+
+
 def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with ``text`` cut by every chunk that occurs earlier, and two more columns: ``_n_lines`` of the input and ``_n_removed``, the lines cut.
 
@@ -108,8 +118,11 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame
     keyed = docs.select(*_keys(F.col("doc_id"), F.col("text")), "text")
     # Narrow: where each chunk stands. Only chunks whose hash repeats are ordered.
     places = pin(keyed.select("k1", "k2", F.explode(_chunks(F.col("text"), divisor)).alias("p")).select("k1", "k2", "p.*"))
-    twice = pin(places.groupBy("hash", "bytes").agg(F.count("*").alias("n")).filter("n > 1").select("hash", "bytes"))
-    held = pin(places.join(twice, ["hash", "bytes"]))
+    twice = pin(places.groupBy("hash", "bytes").agg(F.count("*").alias("n")).filter("n > 1"))
+    # Fewer than HOT_CHUNKS keys can have that share of the rows each, so what is broadcast is bounded, with their bytes, too.
+    share = F.col("n") * HOT_CHUNKS > F.lit(places.count())
+    hot = pin(twice.filter(share & (F.col("bytes") <= HOT_BYTES)).select("hash", "bytes"))
+    held = pin(_met(places, twice.select("hash", "bytes"), hot))
     place = F.struct(F.col("k1").isNull().alias("no"), "k1", "k2", "at")
     first = (
         held.groupBy("hash", "bytes")
@@ -118,7 +131,7 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame
     )
     first = pin(first)
     others = (
-        held.join(first, ["hash", "bytes"])
+        _met(held, first, hot)
         .filter(~(_same("k", "f") & (F.col("at") == F.col("f_at"))))
         .select("hash", "bytes", "k1", "k2", "at", (_same("k", "f") & (F.col("at") == F.col("f_at") + 1)).alias("overlaps"))
         .distinct()
@@ -140,7 +153,7 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame
         .agg(F.first("chunk").alias("chunk"))
     )
     gone = (
-        others.join(sources, ["hash", "bytes"])
+        _met(pin(others), pin(sources), hot)
         .groupBy(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
         .agg(F.collect_list(F.struct("at", "overlaps", "chunk")).alias("_gone"))
     )
