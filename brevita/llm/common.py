@@ -15,13 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """What any job of the library needs, shorter Arrow batches, since a row may hold a very long text, and shuffle files removed once
-    their job is over.
+    """What any job of the library needs, Arrow batches bounded by rows and bytes, since a row may hold a very long text, and shuffle files removed
+    once their job is over.
 
     Every operator here writes what later steps read to the shared folder, so a finished job's shuffle files are of no more use.
     """
     session.prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
