@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from brevita.functions.templates import CHAT_ASSISTANT, CHAT_SYSTEM, CHAT_USER, INSTRUCTION
 from brevita.operators import logs, records, summaries
 from brevita.operators.generate import batch_generate as run_generator
+from brevita.operators.generate import batch_generate_lists as run_lists
 from brevita.plans.corpus import sql_text
 from brevita.plans.views import EVENTS, INFERENCE_LOGS, REQUESTS, derived, duck
 from brevita.session import fresh_dir, pin
 from brevita.sources.records import append_logs
 from brevita.streaming.live import read_live, write_live
 from brevita.streaming.logs import ingest_logs, read_files, write_hourly_kpis
+from brevita.streaming.retries import ingest_once, read_log
 
 MODEL_REPO = "models/summariser"
 MODEL_FILE = "weights.gguf"
@@ -64,6 +66,17 @@ def batch_generate(spark: SparkSession, sf: str) -> DataFrame:
     return generated(spark, sf).drop("latency_ms")
 
 
+def long_words_of_lists() -> Callable[[list[str], list[int]], list[str]]:
+    one = long_words()
+    return lambda prompts, budgets: [one(p, n) for p, n in zip(prompts, budgets, strict=True)]
+
+
+def batch_generate_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answers from a generator that takes lists."""
+    accepted = records.validate_requests(requests(spark, sf)).filter("valid")
+    return run_lists(records.with_prompt(accepted), long_words_of_lists).drop("latency_ms")
+
+
 def log_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Log rows of served requests; the answer's stand-in is the request text between brackets."""
     served = requests(spark, sf).select(
@@ -183,10 +196,23 @@ def stream_live_hours(spark: SparkSession, sf: str) -> DataFrame:
     return _hour_text(summaries.filled_hours(read_live(spark, path)))
 
 
+def stream_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log with every request once, after all of it has come twice: the second time as one late batch."""
+    path, state, source = (fresh_dir(spark, n) for n in ("once", "once-state", "once-source"))
+    rows = _event_logs(derived(spark, sf, "select * from {events}"))
+    for _ in range(2):
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        ingest_once(stream, path, state).awaitTermination()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return _hour_text(read_log(spark, path, schema).select(*records.LOG_COLUMNS), "timestamp_utc")
+
+
 QUERIES = {
     "request_validation": request_validation,
     "inference_prompt": inference_prompt,
     "batch_generate": batch_generate,
+    "batch_generate_lists": batch_generate_lists,
     "log_rows": log_rows,
     "recent_requests": recent_requests,
     "recent_from_log": recent_from_log,
@@ -199,6 +225,7 @@ QUERIES = {
     "stream_hourly_kpis": stream_hourly_kpis,
     "kpis_from_summaries": kpis_from_summaries,
     "stream_live_hours": stream_live_hours,
+    "stream_once": stream_once,
 }
 
 
@@ -275,3 +302,5 @@ from logs group by date_trunc('hour', timestamp_utc), model_version
 having date_trunc('hour', timestamp_utc) + interval 1 hour
   <= (select max(timestamp_utc) - interval 10 minute from logs)""",
 }
+ORACLE["batch_generate_lists"] = ORACLE["batch_generate"]
+ORACLE["stream_once"] = ORACLE["stream_log_ingest"]
