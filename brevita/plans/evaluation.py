@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from brevita.functions.templates import JUDGE_PREDICTION, JUDGE_PROMPT, JUDGE_REFERENCE
 from brevita.operators import curation, judge, resample, rouge
 from brevita.plans.corpus import sql_text
-from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck
+from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck, table
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
+from brevita.sources.bucketed import consecutive_turns, load_bucketed, store_bucketed
 from brevita.sources.tables import load_predictions
 
 # Digits at which figures of Spark and DuckDB are compared; the operators do not round.
@@ -116,6 +117,19 @@ def judged_examples(spark: SparkSession, sf: str) -> DataFrame:
     return judge.judged_examples(derived(spark, sf, DOCUMENT_PAIRS), parsed)
 
 
+def judged_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """Judged examples from two tables stored in buckets by id: whole texts meet without a shuffle."""
+    pairs = store_bucketed(derived(spark, sf, DOCUMENT_PAIRS), "id")
+    replies = store_bucketed(judge_raw(spark, sf), "id")
+    parsed = judge.parse_replies(load_bucketed(spark, replies))
+    return judge.judged_examples(load_bucketed(spark, pairs), parsed.hint("merge"))
+
+
+def reply_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Assistant turns with the turn before them, by one window over blocks of turns."""
+    return consecutive_turns(table(spark, sf, "conversations"))
+
+
 def judge_summary(spark: SparkSession, sf: str) -> DataFrame:
     return judge.judge_summary(judge.typed_scores(judge.parse_replies(judge_raw(spark, sf))))
 
@@ -173,6 +187,8 @@ QUERIES = {
     "judge_parse": judge_parse,
     "judge_scores_typed": judge_scores_typed,
     "judged_examples": judged_examples,
+    "judged_by_bucket": judged_by_bucket,
+    "reply_turns": reply_turns,
     "judge_summary": judge_summary,
     "judge_summary_clean": judge_summary_clean,
     "judge_results_file": judge_results_file,
@@ -355,3 +371,6 @@ from ({duck(REPLY_PAIRS)}) p""",
     "judge_results_file": f"""with {JUDGED} select count(*) as examples, count(error) as errors,
   {", ".join(f"cast(sum({c}) as bigint) as {c}" for c in judge.CRITERIA)} from judged""",
 }
+ORACLE["judged_by_bucket"] = ORACLE["judged_examples"]
+ORACLE["reply_turns"] = """select a.conv_id, a.turn, q.text as asked, a.text as answered
+from conversations a join conversations q on q.conv_id = a.conv_id and q.turn = a.turn - 1 where a.role = 'assistant'"""
