@@ -17,12 +17,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brevita.session import delete, pin
 
-RANGES = 4096
+# What a record has besides its payload, about, and the tasks that write; beyond so many shards a task writes several.
+RECORD_BYTES = 600
+MOST_TASKS = 20_000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SMALLEST_REVISITED = 100
 
@@ -118,13 +120,22 @@ class _Roller:
         self.digest.update(data)
         self.size += len(data)
 
+    def _sha256(self, path: str) -> str:
+        digest = hashlib.sha256()
+        with self.store.open_input_stream(path, compression=None) as stream:
+            while data := stream.read(1 << 20):
+                digest.update(data)
+        return digest.hexdigest()
+
     def close(self) -> dict:
         self.out.close()
         self.out = None
         final = f"{self.root}/{self.name}"
-        if self.store.get_file_info(final).type != fs.FileType.NotFound:
-            self.store.delete_file(final)  # of an earlier attempt, with the same bytes
-        self.store.move(self.temporary, final)
+        held = self.store.get_file_info(final)
+        if held.type == fs.FileType.File and held.size == self.size and self._sha256(final) == self.digest.hexdigest():
+            self.store.delete_file(self.temporary)  # an earlier attempt has put the same bytes in place
+        else:
+            self.store.move(self.temporary, final)
         return {
             "file": self.name,
             "shard": self.shard,
@@ -160,34 +171,29 @@ def _writer(folder: str, most: int, date: str):
     return write
 
 
-def _shards(narrow: DataFrame, shard_bytes: int) -> tuple[DataFrame, Column, int]:
-    """Table (range, first, shards) of at most ``RANGES`` + 1 rows, the range of a page, and the number of shards.
+def _key() -> Column:
+    """Place of a page in the archive's order, as one struct of fixed width: page_id, null last, then digest."""
+    return F.struct(F.col("page_id").isNull().cast("int").alias("no"), F.coalesce(F.col("page_id"), F.lit(0)).cast("bigint").alias("id"), "digest")
+
 
-    A range with one page id, or with null ids, that is too large for a shard is dealt over several by digest.
+def _borders(narrow: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """One row with the first key of each shard, ascending, and their number.
+
+    Keys are laid out in order by ranges of their own, whatever the spread of the ids, and the bytes before each key are a sum over the ranges before
+    and within its own. A shard begins where they pass a multiple of ``shard_bytes``: the same borders for any layout of the table. Only the bytes of
+    one id and payload are not divided.
     """
-    spark = narrow.sparkSession
-    low, high = narrow.agg(F.min("page_id"), F.max("page_id")).first()
-    low, high = low or 0, high or 0
-    width = (high - low) // RANGES + 1
-    place = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)), F.lit(RANGES)).cast("int")
-    # Bounded by the number of ranges.
-    found = (
-        narrow.groupBy(place.alias("range"))
-        .agg(F.sum(F.col("payload_bytes") + 600).alias("bytes"), F.min("page_id").alias("a"), F.max("page_id").alias("b"))
-        .orderBy("range")
-        .collect()
-    )
-    rows, shard, held = [], 0, 0
-    for r in found:
-        alone = -(-r["bytes"] // shard_bytes) if r["a"] == r["b"] else 1
-        if held and (held + r["bytes"] > shard_bytes or alone > 1):
-            shard, held = shard + 1, 0
-        rows.append((r["range"], shard, alone))
-        held += r["bytes"]
-        if alone > 1:
-            shard, held = shard + alone, 0
-    table = spark.createDataFrame(rows, "range int, first int, shards int")
-    return table, place, shard + 1
+    sizes = narrow.groupBy(_key().alias("k")).agg(F.sum(F.col("payload_bytes") + RECORD_BYTES).alias("n"))
+    laid = pin(sizes.repartitionByRange("k").withColumn("part", F.spark_partition_id()))
+    # One row for each range.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = laid.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    summed = laid.join(F.broadcast(before), "part").select("k", (F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("at"))
+    firsts = summed.groupBy(F.floor(F.col("at") / shard_bytes)).agg(F.min("k").alias("k"))
+    # As long as there are shards: some ten bytes for every ``shard_bytes``.
+    borders = pin(firsts.agg(F.array_sort(F.collect_list("k")).alias("borders")))
+    return borders, borders.select(F.size("borders")).first()[0]
 
 
 def write_warc(
@@ -204,20 +210,18 @@ def write_warc(
     page_id are responses as well, since a record cannot revisit itself; a null page_id comes last. A null url has no
     ``WARC-Target-URI``. Other columns are ignored. An empty table gives an empty manifest.
 
-    ``shard_bytes`` is counted before compression, ``file_bytes`` after it. ``date`` goes to every record, so that reruns agree.
+    ``shard_bytes`` is counted before compression, ``file_bytes`` after it; a very long page has a shard, and its payload stands in its task's memory, by itself. ``date`` goes to every record, so that reruns agree.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     narrow = pin(pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("payload_bytes")))
-    table, place, shards = _shards(narrow, shard_bytes)
+    borders, shards = _borders(narrow, shard_bytes)
+    firsts_of = borders.scalar()
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, shards).bit_length()))])
 
     def placed(df: DataFrame) -> DataFrame:
-        part = F.conv(F.substring("digest", 1, 4), 16, 10).cast("bigint") * F.col("shards") / 65536
-        return (
-            df.withColumn("range", place)
-            .join(F.broadcast(table), "range")  # at most RANGES + 1 rows
-            .withColumn("shard", (F.col("first") + F.floor(part)).cast("int"))
-            .drop("range", "first", "shards")
-        )
+        # Binary search: how many borders are not above the key.
+        at = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(F.col("borders"), n + step - 1) <= F.col("k"), n + step).otherwise(n))
+        return df.withColumns({"borders": firsts_of, "k": _key()}).withColumn("shard", at - 1).drop("borders", "k")
 
     # Only payloads that occur more than once, then only the pages that revisit.
     firsts = (
@@ -245,7 +249,7 @@ def write_warc(
     stream = (
         placed(records)
         .unionByName(placed(marks), allowMissingColumns=True)
-        .repartition(4 * shards, "shard")  # few shards share a task by chance
+        .repartitionById(max(1, min(shards, MOST_TASKS)), "shard")
         .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "digest", F.col("mark").desc(), "url")
     )
     manifest = stream.mapInArrow(_writer(folder, file_bytes, date), _MANIFEST)

@@ -98,3 +98,35 @@ def test_empty_table_and_damage(spark, tmp_path):
     file.write_bytes(gzip.compress(text.replace(b"payload payload", b"payload PAYLOAD")))
     with pytest.raises(PythonException, match="does not match"):
         read(spark, f"{folder}2")
+
+
+def test_one_outlying_id_leaves_the_shards_even(spark, tmp_path):
+    rows = [(i, "u", f"{i} " * 100) for i in range(400)] + [(2**62, "u", "far"), (-(2**62), "u", "near")]
+    folder = f"file://{tmp_path}/w"
+    manifest = warc.write_warc(pages(spark, rows).repartition(3), folder, shard_bytes=20_000).collect()
+    assert max(r.records for r in manifest) < 25 and len({r.shard for r in manifest}) > 15
+    assert read(spark, folder) == expected(rows)
+
+
+def test_thousands_of_shards(spark, tmp_path, monkeypatch):
+    """A shard for almost every page; tasks write several. The bound on a shard holds at any number."""
+    monkeypatch.setattr(warc, "MOST_TASKS", 8)
+    df = spark.range(4500).selectExpr("id * id as page_id", "'u' as url", "repeat(cast(id as string), 60) as html")
+    manifest = warc.write_warc(df, f"file://{tmp_path}/w", shard_bytes=700).collect()
+    assert len({r.shard for r in manifest}) > 4096 and max(r.records for r in manifest) <= 2
+    assert sorted({r.shard for r in manifest}) == list(range(len({r.shard for r in manifest})))
+    assert warc.read_warc(spark, f"file://{tmp_path}/w").count() == 4500
+
+
+def test_an_attempt_that_comes_second_leaves_the_file_in_place(tmp_path):
+    for attempt in range(2):
+        roller = warc._Roller(f"file://{tmp_path}", 1 << 20, "2000-01-01T00:00:00Z")
+        roller.add(0, warc._page(1, "u", "d", 3, b"abc", None, "2000-01-01T00:00:00Z"))
+        made = roller.close()
+        at = (tmp_path / made["file"]).stat().st_ino
+        assert attempt == 0 or at == first
+        first = at
+    (tmp_path / made["file"]).write_bytes(b"other")
+    roller = warc._Roller(f"file://{tmp_path}", 1 << 20, "2000-01-01T00:00:00Z")
+    roller.add(0, warc._page(1, "u", "d", 3, b"abc", None, "2000-01-01T00:00:00Z"))
+    assert hashlib.sha256((tmp_path / roller.close()["file"]).read_bytes()).hexdigest() == made["sha256"]
