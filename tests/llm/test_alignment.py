@@ -156,7 +156,7 @@ def test_ranks_give_the_ids_of_the_file(small):
     file = Tokenizer.from_file(alignment.BYTE_LEVEL)
     file.encode_special_tokens = True
     rng = np.random.default_rng(5)
-    tokens = [t for t in (x.decode(errors="ignore") for x in A.spelled) if t]
+    tokens = np.array([t for t in (x.decode(errors="ignore") for x in A.spelled) if t], dtype=object)
     texts = ["".join(rng.choice(tokens, 3)) for _ in range(20_000)] + [t for _, t in ODD]
     texts += [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 '{chr(c)}" for c in range(1, 0x3000)]
     texts += [" " * 3000 + "a", "x" * 2000, "a" + "\n \t" * 500]
