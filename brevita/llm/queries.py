@@ -17,7 +17,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
-    model = secret_scan.train(secret_scan.labelled_strings(docs))
+    model = secret_scan.fit(secret_scan.labelled_strings(docs))
     base, added = F.col("base"), F.col("all")
     return secret_scan.scan(docs, model).select(
         "doc_id",

@@ -1,19 +1,22 @@
 """Scan for secrets: three fixed patterns, and character Markov models for strings that only look random.
 
-Two first-order Markov models over characters are trained, one on random strings, one on ordinary words and identifiers. A long
-run of key characters is a suspect if the random model explains its transitions better by a margin. All of it runs in Spark's own
-expressions: runs are found by regular expressions, positions are running sums of piece lengths, and the score is a fold over the
-run with one lookup in a small array per character.
+Two first-order Markov models over characters are trained, one on random strings, one on ordinary words and identifiers. Each
+transition of a run of key characters gains its log-likelihood ratio, less a drift; transitions at ``/ _ -``, which join keys and names
+alike, gain nothing. A stretch of the run is a suspect if its sum exceeds a bound, so a key is found whatever path or identifier it is joined to. Drift and
+bound come from labelled strings that the models were not trained on. All of it runs in Spark's own expressions: runs are found by regular expressions, positions are running sums of
+piece lengths, and stretches come from one fold over the run, linear in its length.
 """
 
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brevita.llm.common import let, uniform
+from brevita.session import pin
 
 # The patterns of the base kinds, in the order in which equal starts are listed.
 ASSIGN = (
@@ -25,11 +28,26 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 # A run of key characters long enough to be scored.
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
-MARGIN = 0.5
+JOINERS = "/_-"
+BETWEEN_JOINERS = "[A-Za-z0-9+]*"
+# Aim for ordinary runs taken for secrets; share of the held-out ordinary strings that may lie above the bound; one in so many is held out.
+FALSE_RATE = 1e-6
+SAMPLE_RATE = 0.001
+HELD_OUT = 4
+# Digests for each document of the sample.
+DRAWS = 8
 FOLD_BLOCK = 256
 
+
+class Model(NamedTuple):
+    """``gains`` of each transition within ``ALPHABET``, row by row, and the ``bound`` above which the sum of a stretch makes a suspect."""
+
+    gains: list[float]
+    bound: float
+
+
 _FOUND = "array<struct<start:int,end:int,match:string>>"
 
 
@@ -91,24 +109,28 @@ def located(text: Column, pattern: str) -> Column:
 def labelled_strings(docs: DataFrame, rows: int = 4000, seed: int = 5) -> DataFrame:
     """Labelled samples (text, random) from about ``rows`` documents, chosen by a hash of their id.
 
-    Ordinary: the distinct ASCII words of the texts, also in capitals, and three neighbours joined as an identifier. Random: digests of
-    the ids, written in the alphabets that keys use.
+    Ordinary: the distinct ASCII words of the texts outside base spans, also in capitals, and three neighbours joined as an identifier. Random:
+    digests of the ids, written in the alphabets that keys use.
     """
     total = docs.count()
     picked = docs.filter(uniform(F.col("doc_id"), F.lit(seed)) < min(1.0, rows / max(1, total)))
-    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[A-Za-z_][A-Za-z0-9_]{2,}"), F.lit(0))
+    plain = F.coalesce("text", F.lit(""))
+    for pattern in (ASSIGN, ACCESS, HEX):
+        plain = F.regexp_replace(plain, pattern, " ")
+    words = F.regexp_extract_all(plain, F.lit(r"[A-Za-z_][A-Za-z0-9_]{2,}"), F.lit(0))
     snake = lambda w: F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w)), F.lit(3)), lambda i: F.array_join(F.slice(w, i, 3), "_")
     )
     ordinary = picked.select(F.explode(let(F.array_distinct(words), lambda w: F.concat(w, snake(w)))).alias("text"))
     ordinary = ordinary.distinct()
     ordinary = ordinary.select(F.explode(F.array("text", F.upper("text"))).alias("text"), F.lit(False).alias("random"))
-    digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
+    draw = F.explode(F.sequence(F.lit(1), F.lit(DRAWS))).alias("draw")
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), "draw", F.col("doc_id").cast("string")), 256)
     long = F.base64(F.unhex(digest))
     forms = F.array(
         F.rtrim(long, F.lit("=")), F.translate(long, "+/=", "-_"), F.upper(F.regexp_replace(long, "[^A-Za-z0-9]", "")), digest
     )
-    digests = picked.select(F.explode(forms).alias("text"), F.lit(True).alias("random"))
+    digests = picked.select("doc_id", draw).select(F.explode(forms).alias("text"), F.lit(True).alias("random"))
     return ordinary.unionByName(digests)
 
 
@@ -149,27 +171,118 @@ def _class(text: Column, at: Column) -> Column:
     return F.when(place > 0, place - 1)
 
 
-def randomness(run: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio per transition of a run within the alphabet."""
-    width = len(ALPHABET)
+def _literals(values: list) -> Column:
     # One string split once: a literal array after constant folding.
-    ratios = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
-    steps = F.length(run) - 1
-    total = F.aggregate(
-        F.sequence(F.lit(1), steps),
-        F.lit(0.0),
-        lambda held, i: held + F.element_at(ratios, (_class(run, i) * width + _class(run, i + 1) + 1).cast("int")),
+    return F.split(F.lit(",".join(map(str, values))), ",")
+
+
+def evidence(run: Column, gains: list[float]) -> Column:
+    """Gains of the transitions of a run within the alphabet, as an array."""
+    places = _literals([max(0, ALPHABET.find(chr(c))) for c in range(128)]).cast("array<int>")
+    table = _literals(gains).cast("array<double>")
+    # A split, since taking characters of a very long run by their position would be quadratic.
+    classes = F.transform(F.split(run, "", -1), lambda c: F.element_at(places, F.ascii(c) + 1))
+    return let(
+        F.slice(classes, 1, F.length(run)),
+        lambda k: F.transform(
+            F.sequence(F.lit(2), F.size(k)),
+            lambda i: F.element_at(table, F.element_at(k, i - 1) * len(ALPHABET) + F.element_at(k, i) + 1),
+        ),
     )
-    return total / steps
 
 
-def scan(docs: DataFrame, model: list[float], margin: float = MARGIN) -> DataFrame:
+def stretches(gains: Column, bound: float) -> Column:
+    """Parts of an array whose sums exceed ``bound``, as (first, last), from 0.
+
+    A part begins where the running sum rises from nothing, ends where that sum is greatest, and the next one begins once the sum has
+    fallen back to nothing. One pass.
+    """
+    found = "array<struct<first:int,last:int>>"
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(0.0).alias("sum"),
+        F.lit(0.0).alias("best"), _empty(found).alias("found"),
+    )
+
+    def noted(held: Column) -> Column:
+        part = F.struct(held["first"].alias("first"), held["last"].alias("last"))
+        return F.when(held["best"] > bound, F.array_append(held["found"], part)).otherwise(held["found"])
+
+    def step(held: Column, gain: Column) -> Column:
+        total = held["sum"] + gain
+        over = total <= 0
+        better = total > held["best"]
+        return F.struct(
+            (held["at"] + 1).alias("at"),
+            F.when(over, held["at"] + 1).otherwise(held["first"]).alias("first"),
+            F.when(better, held["at"]).otherwise(held["last"]).alias("last"),
+            F.greatest(total, F.lit(0.0)).alias("sum"),
+            F.when(over, F.lit(0.0)).when(better, total).otherwise(held["best"]).alias("best"),
+            F.when(over, noted(held)).otherwise(held["found"]).alias("found"),
+        )
+
+    return F.aggregate(gains, start, step, noted)
+
+
+def highest(gains: Column) -> Column:
+    """The greatest sum of any part of an array, at least 0."""
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+
+    def step(held: Column, gain: Column) -> Column:
+        total = F.greatest(held["sum"] + gain, F.lit(0.0))
+        return F.struct(total.alias("sum"), F.greatest(held["best"], total).alias("best"))
+
+    return F.aggregate(gains, start, step, lambda held: held["best"])
+
+
+def fit(samples: DataFrame, false_rate: float = FALSE_RATE, sample_rate: float = SAMPLE_RATE) -> Model:
+    """Both models, and a drift and a bound from labelled strings that they were not trained on, one in ``HELD_OUT`` by hash.
+
+    The drift is half of the mean ratio in random strings. A sum of log-likelihood ratios exceeds x by chance with a probability near exp(-x), so the
+    bound is at least ``-log(false_rate)``; it is higher if more than ``sample_rate`` of the ordinary strings would exceed that. Without random
+    strings to hold out nothing is ever above the bound.
+    """
+    labelled = pin(samples.filter("text is not null").withColumn("part", F.pmod(F.xxhash64("text"), F.lit(HELD_OUT))))
+    width = len(ALPHABET)
+    inner = [not {ALPHABET[i // width], ALPHABET[i % width]} & set(JOINERS) for i in range(width * width)]
+    ratios = [r if counts else 0.0 for r, counts in zip(train(labelled.filter("part > 0")), inner)]
+    # Strings of any length count, up to their first character outside the alphabet.
+    run = F.regexp_extract("text", "^[A-Za-z0-9+/_-]{2,}", 0)
+    held = labelled.filter("part = 0").select("random", run.alias("run")).filter("run != ''")
+    steps = held.filter("random").select(F.explode(evidence(F.col("run"), ratios)).alias("ratio"))
+    mean = steps.agg(F.avg("ratio")).first()[0]
+    drift = max(0.0, (mean or 0.0) / 2)
+    gains = [round(r - drift, 6) if counts else 0.0 for r, counts in zip(ratios, inner)]
+    sums = held.filter("not random").select(highest(evidence(F.col("run"), gains)).alias("sum"))
+    sampled = sums.agg(F.percentile("sum", F.lit(1 - sample_rate))).first()[0] or 0.0
+    return Model(gains, math.inf if mean is None else max(sampled, -math.log(false_rate)))
+
+
+def suspects(runs: Column, model: Model) -> Column:
+    """Suspect stretches of located runs, as (start, end), each widened to the joiners or the ends of its run around it."""
+
+    def of_run(run: Column) -> Column:
+        found = stretches(evidence(run["match"], model.gains), model.bound)
+
+        def widened(part: Column) -> Column:
+            before = F.length(F.regexp_extract(F.substring(run["match"], F.lit(1), part["first"]), BETWEEN_JOINERS + "$", 0))
+            behind = F.length(F.regexp_extract(F.substring(run["match"], part["last"] + 3, F.length(run["match"])), "^" + BETWEEN_JOINERS, 0))
+            return F.struct(
+                (run["start"] + part["first"] - before).alias("start"), (run["start"] + part["last"] + 2 + behind).alias("end")
+            )
+
+        return F.array_distinct(F.transform(found, widened))
+
+    return F.flatten(F.transform(runs, of_run))
+
+
+def scan(docs: DataFrame, model: Model) -> DataFrame:
     """Spans of each document, one row per input row: doc_id, base and all, arrays of (start, rank, end), rank as in ``KINDS``.
 
     Reads ``doc_id`` and ``text``; other columns are ignored. Positions are code points, end exclusive; a null text counts as empty. Base spans are the
     leftmost non-overlapping matches of each kind: an assignment with a value of 8 or more characters, an access key of 16 or more, a
-    hexadecimal run of 32 or more. ``all`` adds the runs whose mean log-likelihood ratio exceeds ``margin`` and that lie in no base
-    span. Repeated rows, null ids and very long texts are rows like any other; an empty table gives an empty result.
+    hexadecimal run of 32 or more. ``all`` adds the stretches of runs of key characters whose evidence exceeds the model's bound and that lie in no base
+    span. A stretch reaches to the joiners around it, and may take in a neighbouring word whose end looks random; a run of few characters in rare order
+    (``abababab``) is a suspect like a random one. Repeated rows, null ids and very long texts are rows like any other; an empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
     found = docs.select(
@@ -177,7 +290,7 @@ def scan(docs: DataFrame, model: list[float], margin: float = MARGIN) -> DataFra
         F.filter(located(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 8).alias("assign"),
         located(text, ACCESS).alias("access"),
         located(text, HEX).alias("hex"),
-        F.filter(located(text, CANDIDATE), lambda x: randomness(x["match"], model) > margin).alias("markov"),
+        suspects(located(text, CANDIDATE), model).alias("markov"),
     )
 
     def spans(kind: str) -> Column:

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import pytest
 from brute import empty, odd, rows
@@ -33,7 +35,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def model(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    return secret_scan.train(secret_scan.labelled_strings(docs))
+    return secret_scan.fit(secret_scan.labelled_strings(docs))
 
 
 def test_base_spans(spark, small, model):
@@ -68,3 +70,47 @@ def test_empty_tables_and_native_plan(spark, model):
     assert set(blank) == {0.0}
     plan = secret_scan.scan(odd(spark), model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+PATH = "srv/thething/station_that_was/here-and-there/bleer/ation/only_other/entry/"
+
+
+def _found(spark, model, strings):
+    """Share of the strings that some added span covers, of texts that hold one each."""
+    docs = spark.createDataFrame([(i, f"see {x} here") for i, x in enumerate(strings)], "doc_id int, text string")
+    spans = {r.doc_id: [tuple(s) for s in r["all"]] for r in secret_scan.scan(docs, model).collect()}
+    keys = [x.removeprefix(PATH) for x in strings]
+    ends = [4 + len(x) for x in strings]
+    hit = [any(a <= e - len(k) and b >= e for a, _, b in spans[i]) for i, (k, e) in enumerate(zip(keys, ends))]
+    return sum(hit) / len(hit), sum(bool(s) for s in spans.values()) / len(spans)
+
+
+@pytest.mark.parametrize("length", [16, 24, 40])
+@pytest.mark.parametrize("prefix", ["", PATH])
+def test_recall_on_unseen_random_strings(spark, model, length, prefix):
+    draw = random.Random(f"{length}{prefix}")
+    letters = string.ascii_letters + string.digits
+    keys = [prefix + "".join(draw.choice(letters) for _ in range(length)) for _ in range(300)]
+    whole, _ = _found(spark, model, keys)
+    # Sixteen characters seldom bring more evidence than the bound asks for.
+    assert whole >= (0.7 if length == 16 else 0.97)
+
+
+def test_false_hits_on_unseen_ordinary_strings(spark, small, model):
+    # Joined words of texts that the sample did not pick, and joined words of this file's source.
+    docs = spark.read.parquet(f"{small}/documents.parquet").filter("text is not null").orderBy("doc_id").limit(150)
+    words = re.findall("[A-Za-z]{3,}", " ".join(ASSIGN.sub(" ", r.text) for r in docs.collect()))
+    words = [w for w in words if not re.search("[a-z][A-Z]|AKIA", w)]
+    joined = [glue.join(words[i : i + 4]) for i in range(0, len(words) - 4, 7) for glue in ("/", "-", "_")]
+    _, any_span = _found(spark, model, joined)
+    assert len(joined) > 1000 and any_span <= 0.001
+
+
+def test_long_runs_and_several_keys_in_one(spark, model):
+    keys = ["wJalrXUtnFEMIK7MDENGbPxRfiCYzK9dQ2", "9aF3kQzX7bLmV2tRw8YpC5nHs1JdGe4U"]
+    text = f"{PATH}{keys[0]}/{PATH}{keys[1]}/the/end " + "thething" * 50_000 + " " + "-" * 100_000
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    spans = [tuple(s) for s in secret_scan.scan(docs, model).first()["all"]]
+    found = [text[a:b] for a, _, b in spans]
+    # A span may begin with the word before the key, if that word's end looks random.
+    assert [x.split("/")[-1] for x in found] == keys and max(x.count("/") for x in found) <= 1
