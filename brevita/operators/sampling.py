@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevita.functions.keys import hash_bucket, hash_order
+from brevita.operators.ranks import histogram_quantiles, running_totals
 from brevita.session import pin
 
 SAMPLE_SEED = "length"
@@ -48,30 +49,15 @@ def systematic_sample(pool: DataFrame, target_size: int, length_col: str = "text
     """Rows at positions ``i*(n-1) div (target-1)`` of the pool ordered by length.
 
     Rows of equal length have no order of their own in the reference; here their hash order decides,
-    which also spreads them evenly. A pool of at most ``target_size`` rows is returned whole.
+    which also spreads them evenly. A pool of at most ``target_size`` rows is returned whole. The column may have any range, as many values as
+    rows, or one value in most of them: ranks come from running totals over ranges of (value, bucket).
     """
     if target_size < 2:
         raise ValueError("target_size must be at least 2")
     rows = _with_order(pool, SAMPLE_SEED)
 
     buckets = rows.groupBy(length_col, "bucket").agg(F.count("*").alias("n"))
-    # One row per distinct length, a number of characters: the only window without a partition. Its rows are at most
-    # the length limit of the pool (``LengthBand.max_text``), whatever the number of documents.
-    by_length = (
-        buckets.groupBy(length_col)
-        .agg(F.sum("n").alias("length_rows"))
-        .select(
-            length_col,
-            _running("length_rows", Window.orderBy(length_col)).alias("length_start"),
-            F.sum("length_rows").over(Window.partitionBy()).alias("total"),
-        )
-    )
-    inside = Window.partitionBy(length_col).orderBy("bucket")
-    placed = (
-        buckets.withColumn("start", _running("n", inside))
-        .join(by_length, length_col)
-        .withColumn("start", F.col("start") + F.col("length_start"))
-    )
+    placed = running_totals(buckets, [length_col, "bucket"], "n")
 
     total = F.col("total")
     whole = total <= target_size
@@ -96,16 +82,16 @@ def systematic_sample(pool: DataFrame, target_size: int, length_col: str = "text
 def length_deciles(pool: DataFrame, length_col: str = "text_len", bins: int = 10) -> DataFrame:
     """Add ``len_bucket``: equal-frequency bins, right-closed, repeated edges dropped.
 
-    Edges are linear-interpolated quantiles taken from the histogram of lengths, so one row per
-    distinct length reaches the final aggregate, not one per document.
+    Edges are linear-interpolated quantiles taken from the histogram of lengths, by running totals over ranges of it, so that
+    no task holds all lengths. Rows without a length get no bin.
     """
-    probs = ", ".join(f"{k}D/{bins}D" for k in range(bins + 1))
     histogram = pool.groupBy(length_col).agg(F.count("*").alias("n"))
-    edges = histogram.agg(F.expr(f"array_distinct(percentile({length_col}, array({probs}), n))").alias("edges"))
+    edges = histogram_quantiles(histogram, length_col, "n", [k / bins for k in range(bins + 1)])
+    edges = pin(edges.select(F.array_distinct("edges").alias("edges")))
     upper = F.slice("edges", 2, bins + 1)
     with_edges = pool.withColumn("edges", edges.scalar())
     below = F.filter(upper, lambda e: e < F.col(length_col))
-    return with_edges.withColumn("len_bucket", F.size(below)).drop("edges")
+    return with_edges.withColumn("len_bucket", F.when(F.col(length_col).isNotNull(), F.size(below))).drop("edges")
 
 
 def _shares(counts: DataFrame, size: int) -> DataFrame:
