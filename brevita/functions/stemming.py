@@ -1,6 +1,7 @@
 """Porter's suffix stripping (M. F. Porter, "An algorithm for suffix stripping", 1980), as an Arrow UDF.
 
-Words repeat, so each Python worker keeps a bounded memo of stems. A join with a table of distinct words
+Words repeat, so the tokens of a batch are dictionary-encoded, each of its words is stemmed once, and texts are spelled anew from the indices; a
+bounded memo in each Python worker carries stems from batch to batch. A join with a table of distinct words
 would instead shuffle every token, with the commonest word in one partition.
 """
 
@@ -9,7 +10,8 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -113,7 +115,18 @@ def stem_token(word: str) -> str:
     return porter_stem(word) if len(word) > SHORT_WORD else word
 
 
-@F.pandas_udf(StringType())
-def stem_tokens(normal: pd.Series) -> pd.Series:
+def stem_lists(normal: pa.Array) -> pa.Array:
+    """Texts with every token stemmed. Tokens are dictionary-encoded, so each word of a batch is stemmed once."""
+    lists = pc.split_pattern(normal, " ")
+    words = pc.list_flatten(lists).dictionary_encode()
+    stems = pa.array([stem_token(word) for word in words.dictionary.to_pylist()], pa.string())
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
+    joined = pc.binary_join(pa.ListArray.from_arrays(ends, stems.take(words.indices)), " ")
+    return pc.if_else(pc.is_null(normal), pa.scalar(None, pa.string()), joined)
+
+
+@F.arrow_udf(StringType())
+def stem_tokens(normal: pa.Array) -> pa.Array:
     """Stem every token of a normalised text."""
-    return normal.map(lambda text: " ".join(map(stem_token, text.split())))
+    return stem_lists(normal.cast(pa.string()))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brevita.functions.templates import JUDGE_PREDICTION, JUDGE_PROMPT, JUDGE_REFERENCE
 from brevita.operators import curation, judge, resample, rouge
 from brevita.plans.corpus import sql_text
+from brevita.plans.stem_sql import stem_tables
 from brevita.plans.views import DOCUMENT_PAIRS, JUDGE_RAW, REPLY_PAIRS, derived, duck, table
 from brevita.session import fresh_dir, pin
 from brevita.sources import records as store
@@ -46,7 +47,7 @@ def rouge_l_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rouge_stemmed(spark: SparkSession, sf: str) -> DataFrame:
-    """All three metrics with the stemmer, as the reference runs them; the stemmer has no SQL form."""
+    """All three metrics with the stemmer, as the reference runs them."""
     return _rounded(rouge.rouge_scores(reply_pairs(spark, sf), stem=True))
 
 
@@ -209,9 +210,26 @@ def _pairs(view: str) -> str:
 toks as (select id, model, {_tokens("reference_summary")} as r, {_tokens("generated_summary")} as g from pairs)"""
 
 
+def _stemmed_pairs(view: str) -> str:
+    """As ``_pairs``, with each distinct word stemmed once."""
+    return f"""pairs as ({duck(view)}),
+plain as (select id, model, {_tokens("reference_summary")} as r, {_tokens("generated_summary")} as g from pairs),
+vocabulary as (select distinct unnest(list_concat(r, g)) as w0 from plain),
+{stem_tables("vocabulary")},
+placed as (select id, 'r' as side, unnest(r) as w0, unnest(range(1, len(r) + 1)) as place from plain
+  union all select id, 'g', unnest(g), unnest(range(1, len(g) + 1)) from plain),
+spelled as (select id, list(w order by place) filter (side = 'r') as r, list(w order by place) filter (side = 'g') as g
+  from placed join stems using (w0) group by id),
+toks as (select plain.id, model, coalesce(spelled.r, plain.r) as r, coalesce(spelled.g, plain.g) as g from plain left join spelled using (id))"""
+
+
 def _ngrams(view: str) -> str:
+    return _grams(_pairs(view))
+
+
+def _grams(pairs: str) -> str:
     """Clipped overlap and n-gram counts by exploding and grouping, one row per id and n."""
-    return f"""{_pairs(view)},
+    return f"""{pairs},
 sides as (select id, 'r' as side, r as t from toks union all select id, 'g', g from toks),
 words as (select id, side, t, unnest(range(1, len(t) + 1)) as i from sides),
 grams as (select id, side, 1 as n, t[i] as gram from words
@@ -245,12 +263,18 @@ LCS = """lcs(id, i, dp) as (
   from lcs l join toks t on t.id = l.id where l.i < len(t.g)),
 lcs_len as (select l.id, l.dp[len(l.dp)] as lcs from lcs l join toks t on t.id = l.id where l.i = len(t.g))"""
 
-SCORES = f"""{_ngrams(REPLY_PAIRS)},
+
+
+def _scores(pairs: str) -> str:
+    return f"""{_grams(pairs)},
 {LCS},
 scores as (select c.id, c.model, {_f1("hits_1", "gen_1", "ref_1")} as rouge1, {_f1("hits_2", "gen_2", "ref_2")} as rouge2,
   {_f1("lcs", "gen_1", "ref_1")} as "rougeL" from counts c join lcs_len on lcs_len.id = c.id)"""
 
 
+SCORES = _scores(_pairs(REPLY_PAIRS))
+
+
 def _word(start: int) -> str:
     return f"cast('0x' || substring(md5('42:' || id), {start}, 8) as bigint) % {rouge.PRIME}"
 
@@ -346,6 +370,8 @@ select t.id, t.model, cast(len(t.r) as bigint) as ref_1, cast(len(t.g) as bigint
   round({_ratio("lcs", "len(t.g)")}, {DIGITS}) as "rougeL_p", round({_ratio("lcs", "len(t.r)")}, {DIGITS}) as "rougeL_r",
   round({_f1("lcs", "len(t.g)", "len(t.r)")}, {DIGITS}) as "rougeL_f"
 from toks t join lcs_len on lcs_len.id = t.id""",
+    "rouge_stemmed": f"""with recursive {_scores(_stemmed_pairs(REPLY_PAIRS))}
+select id, model, {", ".join(f'round("{m}", {DIGITS}) as "{m}"' for m in rouge.METRICS)} from scores""",
     "rouge_corpus": f"""with recursive {CORPUS_ROUGE} select model, num_examples,
   {", ".join(f'round("{m}", {CORPUS_DIGITS}) as "{m}"' for m in rouge.METRICS)} from rouge_corpus""",
     "rouge_bootstrap": f"""with recursive {SCORES},

@@ -2,13 +2,16 @@ import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from brevita.functions.overlap import lcs_length
-from brevita.functions.stemming import porter_stem, stem_token
+from brevita.functions.stemming import STEP_2, STEP_3, STEP_4, porter_stem, stem_lists, stem_token
 from brevita.operators import rouge
+from brevita.plans.stem_sql import stem_tables
 
 SCHEMA = "id bigint, model string, reference_summary string, generated_summary string"
 
@@ -158,3 +161,20 @@ def test_bootstrap_sums_equal_a_loop(spark):
         assert got[model].rouge1_mid == pytest.approx(np.quantile(means, 0.5))
         assert got[model].rouge1_low == pytest.approx(np.quantile(means, 0.025))
 
+
+
+def test_stems_in_sql_are_those_of_the_function():
+    draw = random.Random(4)
+    ends = [*STEP_2, *STEP_3, *STEP_4, "s", "sses", "ies", "eed", "ed", "ing", "y", "e", "ll", "ated", "tting", "bled", "izing", "lling", ""]
+    starts = ["".join(draw.choice("aeiouybcdlstwx1") for _ in range(draw.randint(0, 6))) for _ in range(400)]
+    words = sorted({s + e + t for s in starts for e in draw.sample(ends, 12) for t in ("", draw.choice(["s", "ed", "ing", "ly"]))} - {""})
+    con = duckdb.connect()
+    con.execute("create table words as select unnest(?) as w0", [words])
+    got = dict(con.sql(f"with {stem_tables('words')} select w0, w from stems").fetchall())
+    assert len(words) > 5000 and got == {w: stem_token(w) for w in words}
+
+
+def test_texts_of_a_batch_are_spelled_from_their_stems():
+    texts = pa.array(["running runs", None, "", "the generations of relational hopping", "runs"])[1:]
+    assert stem_lists(texts).to_pylist() == [None, "", " ".join(map(stem_token, "the generations of relational hopping".split())), "run"]
+    assert stem_lists(pa.array([], pa.string())).to_pylist() == []
