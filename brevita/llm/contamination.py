@@ -128,7 +128,8 @@ def contaminated(
     all characters beyond ASCII, A-Z in lower case. An item of fewer words is one window as a whole; an item without words, or null,
     has none. One row per input row: ``row`` (a struct of the columns in ``keep``, whatever their names), n_words, n_hit, items (ids as
     strings, sorted). A null text has no words. A null item id hits words but is not listed; rows of equal item id are one item.
-    Repeated rows and ids, and null ids, are judged by their own text. Empty tables give no rows or no hits.
+    Repeated rows and ids, and null ids, are judged by their own text, very long ones in all of their windows. Empty tables
+    give no rows or no hits.
 
     Winnowed with ``gram`` words in windows that make up ``span``: no shared span of ``span`` words is missed. Items shorter than
     ``span`` are matched on all of the documents' spans of their length.

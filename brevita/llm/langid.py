@@ -179,7 +179,8 @@ def predict(docs: DataFrame, net: Network, keep: Sequence[str] = ("doc_id",), si
     """Language of every whole text: ``row`` (a struct of the columns in ``keep``, whatever their names), lang_pred, score.
 
     Reads ``text`` only. A text that is null or has no letter, or a network that knows no language, gives ``und`` with score 0. The score is the softmax
-    of the mean window output, by default of windows of 128 bytes. Equal texts have equal results. An empty table gives no rows.
+    of the mean window output, by default of windows of 128 bytes. Equal texts have equal results. Very long texts are scored in all
+    of their windows. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

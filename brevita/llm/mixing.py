@@ -147,7 +147,7 @@ def mix(
 
     A null ``doc_id`` or ``source`` is a value of its own. Rows without words take ``floor(rate)`` copies of nothing. Rows with equal id,
     source and size share their group's copies evenly, so that a repeated row, however frequent, is one row until the end. All draws
-    depend on ids, sizes and ``seed`` only: reruns agree whatever the partitioning. An empty table gives an empty result.
+    depend on ids, sizes and ``seed`` only: reruns agree whatever the partitioning. A very long text is a row with a large size. An empty table gives an empty result.
     """
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     groups = pin(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")))

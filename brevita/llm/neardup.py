@@ -260,7 +260,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, size: in
     words has an empty set and no links. One row per input row: doc_id, text_hash (tells rows of one id apart), n_shingles,
     component_id (smallest doc_id reachable, its own included), kept (doc_id equals component_id). A null id is smaller than none; a group of null
     ids only has a null component_id and is kept. Repeated rows have equal results. Also ``component``, a number of the group that tells groups
-    of one component_id apart, null for a text without words. An empty table gives an empty result.
+    of one component_id apart, null for a text without words. Very long texts are
+    compared by their whole sets. An empty table gives an empty result.
     """
     if percent < 80:
         raise ValueError("the inverted lists are made for similarities of 80 percent or more")

@@ -215,7 +215,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> D
     """Score of every whole text: ``row`` (a struct of the columns in ``keep``, whatever their names) and score, from 0 to 1.
 
     Reads ``text`` and ``n_chars`` only. A null text counts as empty and is scored like any other; a null n_chars is a statistic of its own. Equal
-    texts of equal n_chars have equal scores. An empty table gives no rows.
+    texts of equal n_chars have equal scores. Very long texts are scored whole, in time linear in their length. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -150,7 +150,8 @@ def remove_repeats(
     ``texts=False``) and kept_sha256.
 
     Rows with a null id come after all others, in an order given by a hash of their text. Among rows that share an id each keeps its own first
-    occurrence, so repeated rows are treated alike. Texts with fewer words than a window lose nothing. Empty tables give no rows.
+    occurrence, so repeated rows are treated alike. Texts with fewer words than a window lose nothing; very long ones are
+    judged in all of their windows. Empty tables give no rows.
     """
     if not 0 < gram <= window:
         raise ValueError("gram must be at least 1 and at most window")
