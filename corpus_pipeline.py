@@ -1,7 +1,8 @@
 """The corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps; all but the last return the columns of ``documents``. A stage works on
-all rows that its predecessor kept. Stages handle nulls, empty texts, repeated rows and empty tables as their operators say.
+all rows that its predecessor kept. Stages handle nulls, empty texts, repeated rows and empty tables as their operators say; very long texts are
+judged whole.
 """
 
 from __future__ import annotations
